@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, langid, mixing, neardup, quality, tokens, warc
+from . import chat, decontam, html, langid, mixing, neardup, pii, quality, tokens, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,10 +39,18 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(warc.write_archives(_table(spark, sf_dir, "pages"))).drop("url")
 
@@ -56,7 +64,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_token_output,
         op5_language_id,
         op6_chat_formatting,
+        op7_pii,
         op8_near_dedup,
+        op9_html_extraction,
         op10_warc,
     )
 }
