@@ -204,7 +204,8 @@ def spelled(tape: Tape) -> list[tuple[int, int]]:
 
 _PLAIN = "\u00c0-\u024f¡¿«»§°£€ªº“”‘’„…"  # letters and marks of ordinary text that stand for nothing else
 _TRIGGER = re.compile(
-    rf"[^\x00-\x7f{_PLAIN}]|[\[({<]\s*(?:at|@|dot|\.|arroba|arobase|punkt|punto|point|d0t)\s*[\])}>]|&(?:#|commat|period)|[_*](?:at|dot)[_*]|\sdot\s|\s@\s|@\s|\b(?:zero|one|two|three|four|five|six|seven|eight|nine)[\s,-]+(?:double|triple|zero|oh|one|two|three|four|five|six|seven|eight|nine|[0-9])",
+    rf"[^\x00-\x7f{_PLAIN}]|"
+    r"[\[({<]\s*(?:at|@|dot|\.|arroba|arobase|punkt|punto|point|d0t)\s*[\])}>]|&(?:#|commat|period)|[_*](?:at|dot)[_*]|\sdot\s|\s@\s|@\s|\b(?:zero|one|two|three|four|five|six|seven|eight|nine)[\s,-]+(?:double|triple|zero|oh|one|two|three|four|five|six|seven|eight|nine|[0-9])",
     re.I,
 )
 
