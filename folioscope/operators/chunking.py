@@ -48,16 +48,20 @@ def sliding_windows(text: Column, most: int, overlap: int, tail: str = "clean")
     ``clean`` stops at the window that reaches the end; ``parity`` goes on one word at a time from ``overlap`` words
     before the end, as the reference does. Native: stays in code generation.
     """
-    w = T.words(F.coalesce(text, F.lit("")))
-    n = F.size(w)
-    step = most - overlap
-    last = F.greatest(F.lit(0), F.ceil((n - most) / F.lit(float(step))).cast("int"))
-    starts = F.transform(F.sequence(F.lit(0), last), lambda i: i * step)
-    if tail == "parity":
-        first = F.greatest(n - overlap, last * step + 1)
-        more = F.when((n > most) & (first < n), F.sequence(first, n - 1)).otherwise(F.array().cast("array<int>"))
-        starts = F.concat(starts, more)
-    return F.transform(starts, lambda s: F.struct(s.alias("start"), F.array_join(F.slice(w, s + 1, F.lit(most)), " ").alias("text")))
+
+    def cut(w: Column) -> Column:
+        n = F.size(w)
+        step = most - overlap
+        last = F.greatest(F.lit(0), F.ceil((n - most) / F.lit(float(step))).cast("int"))
+        starts = F.transform(F.sequence(F.lit(0), last), lambda i: i * step)
+        if tail == "parity":
+            first = F.greatest(n - overlap, last * step + 1)
+            more = F.when((n > most) & (first < n), F.sequence(first, n - 1)).otherwise(F.array().cast("array<int>"))
+            starts = F.concat(starts, more)
+        return F.transform(starts, lambda s: F.struct(s.alias("start"), F.array_join(F.slice(w, s + 1, F.lit(most)), " ").alias("text")))
+
+    # the words are bound as a lambda variable, so that they are split once and not once a window
+    return F.transform(F.array(T.words(F.coalesce(text, F.lit("")))), cut)[0]
 
 
 def sentence_windows(text: str, most: int, overlap: int, tail: str = "clean") -> list[tuple[int, str]]:

@@ -114,3 +114,16 @@ def batch_top_k(df: DataFrame, queries: dict[int, list[float]], k: int, key: str
     part = df.select(F.col(key).cast("long").alias(key), F.col(extra).cast("long").alias(extra), vector).mapInArrow(run, f"query_id long, {key} long, {extra} long, similarity double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), key))
     return part.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def within_groups(df: DataFrame, hits: DataFrame, query: list[float], per_group: int, group: str, key: str, vector: str = "embedding") -> DataFrame:
+    """For each group among ``hits`` (at most the top k), its ``per_group`` best rows of another index."""
+    rows = scored(df.join(F.broadcast(hits.select(group).distinct()), group, "left_semi"), query, vector).drop(vector)
+    rn = F.row_number().over(Window.partitionBy(group).orderBy(F.desc("similarity"), key))
+    return rows.withColumn("_rn", rn).where(F.col("_rn") <= per_group).drop("_rn")
+
+
+def hydrated(hits: DataFrame, details: DataFrame, key: str) -> DataFrame:
+    """Hits with their details; a hit without any stays. ``hits`` is a limited list, so it is the broadcast side."""
+    found = details.join(F.broadcast(hits.select(key).distinct()), key, "left_semi")
+    return hits.join(found, key, "left")
