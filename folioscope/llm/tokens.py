@@ -92,7 +92,7 @@ def pieces(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 class Encoder:
     """Ids of texts; remembers the ids of up to ``most`` distinct pieces."""
 
-    def __init__(self, path: str, most: int = 3_000_000) -> None:
+    def __init__(self, path: str, most: int = 2_000_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -263,7 +263,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, folder:
         writer, enc = None, encoder(tokenizer)
         for batch in batches:
             doc_ids = batch.column(0).fill_null(np.iinfo(np.int64).min).to_numpy()
-            for lo, hi in scan.slices(batch.column(1), 4 << 20):
+            for lo, hi in scan.slices(batch.column(1)):
                 if writer is None:
                     writer = Writer(fs.open_output_stream(f"{path}/{name}"))
                 ids, number = with_end(*enc.encode(*scan.texts(batch.column(1), lo, hi)), end_id)
