@@ -28,6 +28,8 @@ from . import scan, skew
 
 MAGIC = b"WARC/1.0\r\n"
 RANGE = 8 << 20
+#: Revisits are broadcast up to this many (under 100 bytes each in memory); beyond it, the pages are shuffled by page_id.
+MOST_REVISITS = 500_000
 LEAST = 100  # bytes of a payload from which it is deduplicated
 SCHEMA = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
@@ -58,13 +60,16 @@ def _record(page_id: int | None, url: str | None, payload: bytes, digest: str, r
 
 
 def revisits(pages: DataFrame, least: int = LEAST) -> DataFrame:
-    """(page_id, digest, refers_to) of the pages that revisit another; narrow: payloads are hashed where they are read."""
+    """(page_id, key, refers_to) of the pages that revisit another; key is 64 bits of the digest, for pages of one id.
+
+    Narrow: payloads are hashed where they are read.
+    """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     meta = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.sha2(payload, 256).alias("digest"), F.octet_length(payload).alias("bytes"))
     meta = scan.checkpointed(meta.where(F.col("bytes") >= least).drop("bytes"))
     first = meta.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("copies")).where("copies > 1")
     found = skew.lookup(meta, scan.checkpointed(first), ["digest"], "copies", meta.count())
-    return found.where(F.col("refers_to").isNotNull() & ~F.col("refers_to").eqNullSafe(F.col("page_id"))).select("page_id", "digest", "refers_to").distinct()
+    return found.where(F.col("refers_to").isNotNull() & ~F.col("refers_to").eqNullSafe(F.col("page_id"))).select("page_id", F.xxhash64("digest").alias("key"), "refers_to").distinct()
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, least: int = LEAST) -> DataFrame:
@@ -73,9 +78,10 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = LEA
     again = scan.checkpointed(revisits(pages, least))
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
-    side = again.select(F.col("page_id").alias("_p"), F.col("digest").alias("_d"), "refers_to")
-    side = F.broadcast(side) if again.count() <= skew.MOST_IDS // 4 else side
-    rows = rows.join(side, F.col("page_id").eqNullSafe(F.col("_p")) & (F.col("digest") == F.col("_d")), "left")
+    side = again.select(F.coalesce("page_id", F.lit(0)).alias("_p"), F.col("page_id").isNull().alias("_n"), F.col("key").alias("_k"), "refers_to")
+    side = F.broadcast(side) if again.count() <= MOST_REVISITS else side
+    same = (F.coalesce(F.col("page_id"), F.lit(0)) == F.col("_p")) & (F.col("page_id").isNull() == F.col("_n")) & (F.xxhash64("digest") == F.col("_k"))
+    rows = rows.join(side, same, "left")
     rows = rows.select("page_id", "url", "html", "digest", "refers_to")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
