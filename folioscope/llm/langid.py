@@ -81,8 +81,12 @@ class Model:
     with which the next phrase begins. Row 1 is the state before any phrase and after a symbol unknown to the root.
     """
 
-    def __init__(self, samples: dict[str, bytes]) -> None:
+    def __init__(self, samples: dict[str, bytes], table_bytes: int = 192 << 20) -> None:
         self.langs = sorted(samples)
+        # an automaton has under two states a byte; with very many languages the samples shrink to keep the bound
+        width = len({c for s in samples.values() for c in s}) + 1
+        longest = max(256, table_bytes // (4 * width * 2 * max(1, len(samples))))
+        samples = {k: s[:longest] for k, s in samples.items()}
         automata = [Automaton(samples[k]) for k in self.langs]
         seen = np.unique(np.concatenate([a.edges[:, 1] for a in automata])) if automata else np.zeros(0, int)
         self.symbol = np.zeros(256, np.int64)  # 0: never seen
@@ -169,8 +173,9 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, sample_bytes: int = 32 << 10, candidates: int = 400) -> Model:
-    """Learns from a bounded sample: at most ``candidates`` documents and ``sample_bytes`` of text a language.
+def fit(docs: DataFrame, sample_bytes: int = 32 << 10, candidates: int = 400, most_langs: int = 512) -> Model:
+    """Learns from a bounded sample: at most ``candidates`` documents and ``sample_bytes`` of text a language, of the
+    ``most_langs`` languages with most labelled documents.
 
     Counts per language give the share of a hash range that holds about twice ``candidates`` documents, so the sample
     is drawn by one filtered scan; nothing but the sample leaves it. Null or empty texts and null languages are not used.
@@ -178,7 +183,8 @@ def fit(docs: DataFrame, sample_bytes: int = 32 << 10, candidates: int = 400) ->
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & (F.length("text") > 0) & ~held_out())
     draw = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.octet_length("text")), F.lit(1 << 30))
-    per_lang = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs)
+    per_lang = {r["lang"]: r["count"] for r in counts.collect()}
     if not per_lang:
         return Model({})
     below = F.create_map(*[F.lit(x) for k, n in per_lang.items() for x in (k, min(1 << 30, int(2 * candidates / n * (1 << 30)) + 1))])

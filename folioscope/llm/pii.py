@@ -145,7 +145,7 @@ def characters(tape: Tape) -> None:
 
 _OPEN, _SHUT = r"[\[({<]", r"[\])}>]"
 _MARK = re.compile(
-    rf"(?P<at>\s*{_OPEN}\s*(?:at|@|arroba|arobase)\s*{_SHUT}\s*|\s*&(?:\#0*64|\#x0*40|commat);\s*|(?<=[A-Za-z0-9])[_*]at[_*](?=[A-Za-z0-9]))"
+    rf"(?P<at>\s*{_OPEN}\s*(?:at|@|arroba|arobase)\s*{_SHUT}\s*|\s*&(?:\#0*64|\#x0*40|commat);\s*|(?<=[A-Za-z0-9])[_*]at[_*](?=[A-Za-z0-9-]+[_*]dot[_*]))"
     rf"|(?P<dot>\s*{_OPEN}\s*(?:dot|\.|punkt|punto|point|d0t)\s*{_SHUT}\s*|\s*&(?:\#0*46|\#x0*2e|period);\s*|(?<=[A-Za-z0-9])[_*]dot[_*](?=[A-Za-z0-9]))",
     re.I,
 )
