@@ -1,16 +1,22 @@
 """Scalar text functions as Columns: cleaning, hashing, counting, identifiers, display.
 
-White space is Python's Unicode set, spelled out, because regex engines disagree on ``\\s``.
+White space is Python's Unicode set: ``(?U)[\\s\\x1C-\\x1F]`` in Java, which has fast predicates for it. Engines that
+disagree on ``\\s`` get ``SQL_SPACE``, the same set spelled out.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Works in Java's regex and in RE2.
-SPACE = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-WORD = SPACE.replace("[", "[^", 1) + "+"
+#: To be used under the flag U.
+SPACE = r"[\s\x1C-\x1F]"
+SPACES = "(?U)" + SPACE + "+"
+WORD = r"(?U)[^\s\x1C-\x1F]+"
+SQL_SPACE = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+SQL_WORD = SQL_SPACE.replace("[", "[^", 1) + "+"
 
 TYPE_NAMES = {"hr": "H.R.", "s": "S.", "hjres": "H.J.Res.", "sjres": "S.J.Res.", "hconres": "H.Con.Res.", "sconres": "S.Con.Res.", "hres": "H.Res.", "sres": "S.Res."}
 VERSION_RANKS = {"enr": 0, "eas": 1, "eah": 1, "es": 2, "eh": 2, "rs": 3, "rh": 3, "rds": 4, "rfh": 4, "rfs": 4, "ih": 5, "is": 5}
@@ -29,14 +35,19 @@ FALLBACK_VERSIONS = ("enr", "eh", "es", "rh", "rs", "ih", "is")
 ERROR_PAGE_MARKS = ("Page Not Found", "page you requested cannot be found", "govinfo.gov/error")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used: it is bound as a lambda variable."""
+    return F.transform(F.array(value), use)[0]
+
+
 def collapsed(c: Column) -> Column:
     """Runs of white space as one space, trimmed."""
-    return F.trim(F.regexp_replace(c, SPACE + "+", " "))
+    return F.trim(F.regexp_replace(c, SPACES, " "))
 
 
 def clean_text(c: Column) -> Column:
     """White space collapsed, none before ``. , ; : )``, trimmed."""
-    return F.trim(F.regexp_replace(F.regexp_replace(c, SPACE + "+", " "), r" ([.,;:)])", "$1"))
+    return F.trim(F.regexp_replace(F.regexp_replace(c, SPACES, " "), r" ([.,;:)])", "$1"))
 
 
 def normalized(c: Column) -> Column:
@@ -60,7 +71,12 @@ def word_count(c: Column) -> Column:
 
 def token_count(c: Column) -> Column:
     """Estimated tokens: words / 1.3, at least 1."""
-    return F.greatest(F.lit(1), F.floor(word_count(c) / F.lit(1.3)).cast("int"))
+    return tokens_of(word_count(c))
+
+
+def tokens_of(n: Column) -> Column:
+    """``token_count`` from a number of words."""
+    return F.greatest(F.lit(1), F.floor(n / F.lit(1.3)).cast("int"))
 
 
 def words(c: Column) -> Column:
@@ -69,8 +85,7 @@ def words(c: Column) -> Column:
 
 def snippet(c: Column, n: int) -> Column:
     """At most ``n`` characters of the collapsed text, ended by ``...`` where cut."""
-    t = collapsed(F.coalesce(c, F.lit("")))
-    return F.when(F.length(t) <= n, t).otherwise(F.concat(F.rtrim(F.substring(t, 1, n - 3)), F.lit("...")))
+    return let(collapsed(F.coalesce(c, F.lit(""))), lambda t: F.when(F.length(t) <= n, t).otherwise(F.concat(F.rtrim(F.substring(t, 1, n - 3)), F.lit("..."))))
 
 
 def tags_removed(c: Column) -> Column:
@@ -179,10 +194,13 @@ def chamber_name(c: Column) -> Column:
 def vote_pair(question: Column, subject: Column) -> Column:
     """struct(question, subject): where one, normalised, begins with the other, only the longer stays."""
     q, s = (clean_text(F.coalesce(c, F.lit(""))) for c in (question, subject))
-    ql, sl = F.lower(q), F.lower(s)
-    both = (q != "") & (s != "") & (F.startswith(ql, sl) | F.startswith(sl, ql))
-    first = F.length(q) >= F.length(s)
-    return F.struct(F.when(both & ~first, "").otherwise(q).alias("question"), F.when(both & first, "").otherwise(s).alias("subject"))
+
+    def pick(p: Column) -> Column:
+        both = (p["q"] != "") & (p["s"] != "") & (F.startswith(p["ql"], p["sl"]) | F.startswith(p["sl"], p["ql"]))
+        first = F.length(p["q"]) >= F.length(p["s"])
+        return F.struct(F.when(both & ~first, "").otherwise(p["q"]).alias("question"), F.when(both & first, "").otherwise(p["s"]).alias("subject"))
+
+    return let(let(F.struct(q.alias("q"), s.alias("s")), lambda p: F.struct(p["q"].alias("q"), p["s"].alias("s"), F.lower(p["q"]).alias("ql"), F.lower(p["s"]).alias("sl"))), pick)
 
 
 def vote_prefix(vote_id: Column, chamber: Column, date: Column, category: Column, kind: Column) -> Column:
@@ -193,10 +211,10 @@ def vote_prefix(vote_id: Column, chamber: Column, date: Column, category: Column
 
 def vote_narrative(question: Column, subject: Column, result: Column, bill_id: Column) -> Column:
     """The parts that are present, a line each."""
-    pair = vote_pair(question, subject)
     part = lambda label, x: F.when(x != "", F.concat(F.lit(label + ": "), x))
     r, b = clean_text(F.coalesce(result, F.lit(""))), F.trim(F.coalesce(bill_id, F.lit("")))
-    return F.concat_ws("\n", part("Question", pair["question"]), part("Subject", pair["subject"]), part("Result", r), part("Related bill", b))
+    all_ = F.struct(vote_pair(question, subject).alias("p"), r.alias("r"), b.alias("b"))
+    return let(all_, lambda x: F.concat_ws("\n", part("Question", x["p"]["question"]), part("Subject", x["p"]["subject"]), part("Result", x["r"]), part("Related bill", x["b"])))
 
 
 def vote_text(prefix: Column, narrative: Column) -> Column:

@@ -19,8 +19,10 @@ def estimated_tokens(words: int) -> int:
 def paragraphs(df: DataFrame, text: str, least: int = 1) -> DataFrame:
     """Lines as sections: position, cleaned body, and the hash of the body alone."""
     rows = df.select("*", F.posexplode(F.split(text, "\n")).alias("section_enum", "_line"))
-    rows = rows.withColumn("body_text", T.clean_text(F.col("_line"))).where(F.length("body_text") >= least)
-    return rows.withColumn("section_text_hash", T.text_hash(F.col("body_text"))).drop("_line")
+    # a line that has a word is not empty when cleaned; the test is cheap to push down, cleaning twice is not
+    rows = rows.where(F.col("_line").rlike(T.WORD)).withColumn("body_text", T.clean_text(F.col("_line")))
+    rows = rows.where(F.length("body_text") >= least) if least > 1 else rows
+    return rows.withColumn("section_text_hash", F.sha2(F.lower("body_text"), 256)).drop("_line")
 
 
 def numbered_sections(text: Column) -> Column:
@@ -29,7 +31,7 @@ def numbered_sections(text: Column) -> Column:
     What stands before the first such line is dropped, as are boilerplate headers and empty bodies. Without any such
     line the whole text is one section, if it has 50 characters.
     """
-    head = r"(?i)(?:^|\n)" + T.SPACE + r"*(?:SECTION|SEC\.?)" + T.SPACE + r"+([0-9]+[A-Za-z]?)\." + T.SPACE + r"*([^\n]*)(?=\n)"
+    head = r"(?iU)(?:^|\n)" + T.SPACE + r"*(?:SECTION|SEC\.?)" + T.SPACE + r"+([0-9]+[A-Za-z]?)\." + T.SPACE + r"*([^\n]*)(?=\n)"
     bodies = F.slice(F.split(text, head), 2, 1 << 30)
     enums, headers = (F.regexp_extract_all(text, F.lit(head), k) for k in (1, 2))
     found = F.transform(
@@ -42,8 +44,8 @@ def numbered_sections(text: Column) -> Column:
     return F.when(F.size(enums) > 0, found).when(F.length(whole) >= 50, single).otherwise(F.slice(single, 1, 0))
 
 
-def sliding_windows(text: Column, most: int, overlap: int, tail: str = "clean") -> Column:
-    """array<struct<start, words>>: windows of ``most`` words, each ``overlap`` behind the last; a text that fits is one.
+def sliding_windows(text: Column, most: int, overlap: int, tail: str = "clean", with_text: bool = True) -> Column:
+    """array<struct<start, n, text>>: windows of ``most`` words, each ``overlap`` behind the last; a text that fits is one.
 
     ``clean`` stops at the window that reaches the end; ``parity`` goes on one word at a time from ``overlap`` words
     before the end, as the reference does. Native: stays in code generation.
@@ -58,7 +60,10 @@ def sliding_windows(text: Column, most: int, overlap: int, tail: str = "clean")
             first = F.greatest(n - overlap, last * step + 1)
             more = F.when((n > most) & (first < n), F.sequence(first, n - 1)).otherwise(F.array().cast("array<int>"))
             starts = F.concat(starts, more)
-        return F.transform(starts, lambda s: F.struct(s.alias("start"), F.array_join(F.slice(w, s + 1, F.lit(most)), " ").alias("text")))
+        size = lambda s: F.least(n - s, F.lit(most)).alias("n")
+        if not with_text:
+            return F.transform(starts, lambda s: F.struct(s.alias("start"), size(s)))
+        return F.transform(starts, lambda s: F.struct(s.alias("start"), size(s), F.array_join(F.slice(w, s + 1, F.lit(most)), " ").alias("text")))
 
     # the words are bound as a lambda variable, so that they are split once and not once a window
     return F.transform(F.array(T.words(F.coalesce(text, F.lit("")))), cut)[0]

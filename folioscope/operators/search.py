@@ -13,26 +13,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..functions import vectors as V
 
 
 def scored(df: DataFrame, query: list[float], vector: str = "embedding") -> DataFrame:
-    return df.withColumn("similarity", V.cosine_similarity(F.col(vector), query)).where("similarity is not null")
+    """Adds the similarity; null for rows that have none. Callers drop those after limits: a filter here would be pushed
+    down and score every row twice."""
+    return df.withColumn("similarity", V.cosine_similarity(F.col(vector), query))
 
 
 def top_k(df: DataFrame, query: list[float], k: int, key: str, vector: str = "embedding", where: Column | None = None, least: float | None = None) -> DataFrame:
     """The k most similar rows, ties by key; ``where`` filters before the limit, ``least`` is a similarity threshold."""
     rows = scored(df if where is None else df.where(where), query, vector)
-    if least is not None:
-        rows = rows.where(F.col("similarity") >= least)
-    return rows.drop(vector).orderBy(F.desc("similarity"), key).limit(k)
+    top = rows.drop(vector).orderBy(F.desc_nulls_last("similarity"), key).limit(k)
+    # in descending order, a threshold after the limit keeps the same rows as one before it
+    return top.where(F.col("similarity").isNotNull() if least is None else F.col("similarity") >= least)
 
 
 def best_per_group(df: DataFrame, query: list[float], k: int, group: str, key: str, vector: str = "embedding") -> DataFrame:
     """The k groups whose best row is most similar, with that row: partial maxima, no window."""
     best = F.max_by(F.struct("similarity", key), F.struct(F.col("similarity"), -F.col(key))).alias("_b")
     rows = scored(df, query, vector).groupBy(group).agg(best)
-    return rows.select(group, F.col(f"_b.{key}").alias(key), F.col("_b.similarity").alias("similarity")).orderBy(F.desc("similarity"), group).limit(k)
+    return rows.select(group, F.col(f"_b.{key}").alias(key), F.col("_b.similarity").alias("similarity")).where("similarity is not null").orderBy(F.desc("similarity"), group).limit(k)
 
 
 def overfetch_groups(df: DataFrame, query: list[float], k: int, group: str, key: str, factor: int = 5, vector: str = "embedding") -> DataFrame:
@@ -67,10 +70,11 @@ def ranked_hits(hits: DataFrame, order: list[Column], name: str = "rank") -> Dat
 
 def keyword_top_k(df: DataFrame, terms: list[str], k: int, key: str, words: Column) -> DataFrame:
     """Documents by distinct terms matched, then occurrences: our own scorer, as the reference's is not shipped."""
-    distinct = sum((F.array_contains(F.col("_w"), t).cast("int") for t in terms), F.lit(0))
-    total = F.size(F.filter("_w", lambda w: w.isin(*terms)))
-    rows = df.withColumn("_w", words).withColumn("n_terms", distinct).withColumn("n_hits", total).where("n_hits > 0")
-    return rows.select(key, "n_terms", F.col("n_hits").cast("bigint").alias("n_hits")).orderBy(F.desc("n_terms"), F.desc("n_hits"), key).limit(k)
+    def count(w: Column) -> Column:
+        return F.struct(sum((F.array_contains(w, t).cast("int") for t in terms), F.lit(0)).alias("t"), F.size(F.filter(w, lambda x: x.isin(*terms))).cast("bigint").alias("h"))
+
+    rows = df.select(key, T.let(words, count).alias("_c")).select(key, F.col("_c.t").alias("n_terms"), F.col("_c.h").alias("n_hits"))
+    return rows.orderBy(F.desc("n_terms"), F.desc("n_hits"), key).limit(k).where("n_hits > 0")
 
 
 def fuse(rankings: list[DataFrame], key: str, k: int = 60, first: int = 0) -> DataFrame:
@@ -120,7 +124,7 @@ def within_groups(df: DataFrame, hits: DataFrame, query: list[float], per_group:
     """For each group among ``hits`` (at most the top k), its ``per_group`` best rows of another index."""
     rows = scored(df.join(F.broadcast(hits.select(group).distinct()), group, "left_semi"), query, vector).drop(vector)
     rn = F.row_number().over(Window.partitionBy(group).orderBy(F.desc("similarity"), key))
-    return rows.withColumn("_rn", rn).where(F.col("_rn") <= per_group).drop("_rn")
+    return rows.withColumn("_rn", rn).where((F.col("_rn") <= per_group) & F.col("similarity").isNotNull()).drop("_rn")
 
 
 def hydrated(hits: DataFrame, details: DataFrame, key: str) -> DataFrame:

@@ -22,7 +22,7 @@ SQL: dict[str, str] = {}
 LANG_RANKS = {"en": 0, "de": 1, "fr": 2, "es": 3}
 
 # --- SQL fragments
-_S = T.SPACE
+_S = T.SQL_SPACE
 
 
 def _clean(x: str) -> str:
@@ -38,7 +38,7 @@ def _hash(x: str) -> str:
 
 
 def _words(x: str) -> str:
-    return f"regexp_extract_all({x}, '{T.WORD}')"
+    return f"regexp_extract_all({x}, '{T.SQL_WORD}')"
 
 
 _TOKENS = "greatest(1, trunc(len({w}) / 1.3))"
@@ -181,9 +181,9 @@ def chunk_sliding(spark, sf_dir):
   SELECT doc_id, n, unnest(list_concat([x * 112 for x in range(0, last + 1)], CASE WHEN n > 128 THEN range(greatest(n - 16, last * 112 + 1), n) ELSE [] END)) AS start FROM s
 ) SELECT doc_id, count(*)::BIGINT AS n_windows, sum(least(start + 128, n) - start)::BIGINT AS n_words FROM starts GROUP BY doc_id""")
 def chunk_sliding_parity(spark, sf_dir):
-    w = chunking.sliding_windows(F.col("text"), 128, 16, tail="parity")
+    w = chunking.sliding_windows(F.col("text"), 128, 16, tail="parity", with_text=False)
     rows = _docs(spark, sf_dir).select("doc_id", F.explode(w).alias("c"))
-    return rows.groupBy("doc_id").agg(F.count("*").alias("n_windows"), F.sum(T.word_count(F.col("c.text"))).alias("n_words"))
+    return rows.groupBy("doc_id").agg(F.count("*").alias("n_windows"), F.sum("c.n").alias("n_words"))
 
 
 @query(f"""WITH RECURSIVE w AS (SELECT doc_id, text, {_words('text')} AS w FROM documents), c AS (
@@ -210,9 +210,9 @@ _CHUNKS = f"""{_SECTIONS}, cw AS (SELECT doc_id, section_enum, section_text_hash
 
 
 def _chunks(spark, sf_dir) -> DataFrame:
-    w = chunking.sliding_windows(F.col("body_text"), 64, 16)
+    w = chunking.sliding_windows(F.col("body_text"), 64, 16, with_text=False)
     rows = _sections(spark, sf_dir).select("doc_id", "section_enum", "section_text_hash", F.posexplode(w).alias("chunk_index", "_c"))
-    return rows.select("doc_id", "section_enum", "section_text_hash", "chunk_index", T.token_count(F.col("_c.text")).alias("tokens"))
+    return rows.select("doc_id", "section_enum", "section_text_hash", "chunk_index", T.tokens_of(F.col("_c.n")).alias("tokens"))
 
 
 @query(f"WITH {_CHUNKS} SELECT * FROM chunks WHERE tokens >= 30")
