@@ -27,8 +27,9 @@ from . import scan
 
 SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
 KINDS = ("email", "ip", "card", "phone")
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+_IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 Span = tuple[int, int, int]  # start, kind, end
@@ -51,11 +52,32 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def emails(text: str) -> list[Span]:
+    """Matches of ``[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+``, found from each @ outwards.
+
+    A match can only begin in the run of local characters that ends at the @, and the domain does not depend on where; so
+    this equals the regex, but stays linear on long runs without an @.
+    """
+    out: list[Span] = []
+    done, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and text[start - 1] in _LOCAL:
+            start -= 1
+        if start < at and (m := _DOMAIN.match(text, at + 1)):
+            done = m.end()
+            out.append((start, 0, done))
+            at = text.find("@", done)
+        else:
+            at = text.find("@", at + 1)
+    return out
+
+
 def detect(text: str) -> list[Span]:
     """The base spans: leftmost, non-overlapping per kind; matches that fail their test are dropped, without retries."""
     out: list[Span] = []
     if "@" in text:
-        out += [(m.start(), 0, m.end()) for m in _EMAIL.finditer(text)]
+        out += emails(text)
     if "." in text:
         out += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(_octet(p) for p in m[0].split("."))]
     for m in _CARD.finditer(text):
@@ -145,14 +167,14 @@ def characters(tape: Tape) -> None:
 
 _OPEN, _SHUT = r"[\[({<]", r"[\])}>]"
 _MARK = re.compile(
-    rf"(?P<at>\s*{_OPEN}\s*(?:at|@|arroba|arobase)\s*{_SHUT}\s*|\s*&(?:\#0*64|\#x0*40|commat);\s*|(?<=[A-Za-z0-9])[_*]at[_*](?=[A-Za-z0-9-]+[_*]dot[_*]))"
-    rf"|(?P<dot>\s*{_OPEN}\s*(?:dot|\.|punkt|punto|point|d0t)\s*{_SHUT}\s*|\s*&(?:\#0*46|\#x0*2e|period);\s*|(?<=[A-Za-z0-9])[_*]dot[_*](?=[A-Za-z0-9]))",
+    rf"(?P<at>\s{{0,8}}{_OPEN}\s{{0,8}}(?:at|@|arroba|arobase)\s{{0,8}}{_SHUT}\s{{0,8}}|\s{{0,8}}&(?:\#0*64|\#x0*40|commat);\s{{0,8}}|(?<=[A-Za-z0-9])[_*]at[_*](?=[A-Za-z0-9-]+[_*]dot[_*]))"
+    rf"|(?P<dot>\s{{0,8}}{_OPEN}\s{{0,8}}(?:dot|\.|punkt|punto|point|d0t)\s{{0,8}}{_SHUT}\s{{0,8}}|\s{{0,8}}&(?:\#0*46|\#x0*2e|period);\s{{0,8}}|(?<=[A-Za-z0-9])[_*]dot[_*](?=[A-Za-z0-9]))",
     re.I,
 )
 _ADDRESS = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9%+_-]+(?:(?:\.|\s+dot\s+)[A-Za-z0-9%+_-]+){0,8}(?P<at>\s+at\s+|\s*@\s*)[A-Za-z0-9-]+(?:(?:\.|\s+dot\s+)[A-Za-z0-9-]+){1,8}", re.I
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9%+_-]+(?:(?:\.|\s{1,8}dot\s{1,8})[A-Za-z0-9%+_-]+){0,8}(?P<at>\s{1,8}at\s{1,8}|\s{0,8}@\s{0,8})[A-Za-z0-9-]+(?:(?:\.|\s{1,8}dot\s{1,8})[A-Za-z0-9-]+){1,8}", re.I
 )
-_DOT = re.compile(r"\s+dot\s+", re.I)
+_DOT = re.compile(r"\s{1,8}dot\s{1,8}", re.I)
 
 
 def marks(tape: Tape) -> None:
