@@ -18,21 +18,24 @@ WORD = r"(?U)[^\s\x1C-\x1F]+"
 SQL_SPACE = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 SQL_WORD = SQL_SPACE.replace("[", "[^", 1) + "+"
 
-TYPE_NAMES = {"hr": "H.R.", "s": "S.", "hjres": "H.J.Res.", "sjres": "S.J.Res.", "hconres": "H.Con.Res.", "sconres": "S.Con.Res.", "hres": "H.Res.", "sres": "S.Res."}
-VERSION_RANKS = {"enr": 0, "eas": 1, "eah": 1, "es": 2, "eh": 2, "rs": 3, "rh": 3, "rds": 4, "rfh": 4, "rfs": 4, "ih": 5, "is": 5}
-BOILERPLATE = (
-    "short title", "short title; table of contents", "table of contents", "effective date", "effective dates", "severability", "severability clause", "definitions",
-)
+TYPE_NAMES = dict(s="S.", hr="H.R.") | {c + k: c.upper() + "." + n for c in "hs" for k, n in (("res", "Res."), ("jres", "J.Res."), ("conres", "Con.Res."))}
+#: Codes of one rank stand together, the most final first.
+VERSION_RANKS = {code: rank for rank, codes in enumerate("enr|eah eas|eh es|rh rs|rds rfh rfs|ih is".split("|")) for code in codes.split()}
+BOILERPLATE = tuple("definitions|effective date|effective dates|severability clause|severability|table of contents|short title; table of contents|short title".split("|"))
 #: Which version codes to try, by the first status word that the status contains.
-VERSIONS_BY_STATUS = (
-    (("ENACTED", "SIGNED"), ("enr", "eas", "eah", "es", "eh", "ih", "is")),
-    (("PASS",), ("es", "eh", "eas", "eah", "cps", "cph", "ih", "is")),
-    (("REPORTED",), ("rs", "rh", "rds", "rfh", "rfs", "ih", "is")),
-    (("REFERRED",), ("rfh", "rfs", "ih", "is")),
-    (("INTRODUCED",), ("ih", "is")),
+VERSIONS_BY_STATUS = tuple(
+    (marks, tuple(codes.split()))
+    for marks, codes in (
+        (("ENACTED", "SIGNED"), "enr eas eah es eh ih is"),
+        (("PASS",), "es eh eas eah cps cph ih is"),
+        (("REPORTED",), "rs rh rds rfh rfs ih is"),
+        (("REFERRED",), "rfh rfs ih is"),
+        (("INTRODUCED",), "ih is"),
+    )
 )
-FALLBACK_VERSIONS = ("enr", "eh", "es", "rh", "rs", "ih", "is")
-ERROR_PAGE_MARKS = ("Page Not Found", "page you requested cannot be found", "govinfo.gov/error")
+FALLBACK_VERSIONS = tuple("enr eh es rh rs ih is".split())
+#: Literals of pages that say not found with status 200.
+ERROR_PAGE_MARKS = tuple("Page Not Found|page you requested cannot be found|govinfo.gov/error".split("|"))
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:

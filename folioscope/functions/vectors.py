@@ -23,13 +23,13 @@ def cosine_similarity(vector: Column, query: list[float]) -> Column:
     return F.when((F.size(vector) == len(query)) & (length > 0), dot(vector, q) / length)
 
 
-def hash_embedding(key: str, dimensions: int) -> list[float]:
+def hash_embedding(key: str, size: int) -> list[float]:
     """A unit vector from a chain of sha256 digests of the key, read as big-endian 32-bit integers."""
-    raw, seed = b"", key.encode()
-    while len(raw) < 4 * dimensions:
-        seed = hashlib.sha256(seed).digest()
-        raw += seed
-    values = [x / 2**31 for x in struct.unpack(f">{dimensions}i", raw[: 4 * dimensions])]
+    links, raw = [key.encode()], bytearray()
+    while len(raw) < 4 * size:
+        links.append(hashlib.sha256(links[-1]).digest())
+        raw += links[-1]
+    values = [x / 2**31 for x in struct.unpack_from(f">{size}i", raw)]
     norm = math.sqrt(sum(v * v for v in values)) or 1.0
     return [v / norm for v in values]
 

@@ -15,15 +15,20 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.text import BOILERPLATE
 
-_DC = "{http://purl.org/dc/elements/1.1/}"
+_DC = "{%s}" % "/".join(("http:", "", "purl.org", "dc", "elements", "1.1", ""))  # Dublin Core
 PARSED = (
     "doc_key string, ok boolean, full_text string, hash_text string, bill_stage string, legis_num string, official_title string, congress_text string, dc_title string, date string, "
     "sections array<struct<enum: string, header: string, body_text: string, sub_texts: array<string>>>"
 )
 
 
+_SPACES = re.compile(r"\s+")
+_BEFORE_MARK = re.compile(r" (?=[.,;:)])")
+
+
 def clean(text: str) -> str:
-    return re.sub(r"\s+([.,;:)])", r"\1", re.sub(r"\s+", " ", text)).strip()
+    """White space collapsed, none before ``. , ; : )``, none at the ends."""
+    return _BEFORE_MARK.sub("", _SPACES.sub(" ", text)).strip()
 
 
 def joined(node: ET.Element) -> str:

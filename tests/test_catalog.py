@@ -47,11 +47,10 @@ def test_fake_embedding_against_a_plain_implementation(spark, data):
     import struct
 
     for r in catalog.fake_embedding(spark, data).limit(20).collect():
-        raw, seed = b"", r["source_hash"].encode()
-        while len(raw) < 256:
-            seed = hashlib.sha256(seed).digest()
-            raw += seed
-        v = [struct.unpack(">i", raw[4 * k : 4 * k + 4])[0] / 2**31 for k in range(64)]
+        chain = [r["source_hash"].encode()]
+        for _ in range(8):
+            chain.append(hashlib.sha256(chain[-1]).digest())
+        v = [x / 2**31 for x in struct.unpack(">64i", b"".join(chain[1:]))]
         n = math.sqrt(sum(x * x for x in v))
         assert r["embedding"] == pytest.approx([x / n for x in v])
 

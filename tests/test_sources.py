@@ -7,11 +7,11 @@ from folioscope import schemas
 from folioscope.sources import files, xml
 from folioscope.streaming import incremental
 
-BILL = b"""<bill bill-stage="Enrolled" xmlns:dc="http://purl.org/dc/elements/1.1/"><form><legis-num> H.R. 1 </legis-num><congress>119th</congress>
+BILL = b"""<bill bill-stage="Enrolled" xmlns:dc="%s"><form><legis-num> H.R. 1 </legis-num><congress>119th</congress>
 <official-title>To  do <em>things</em> .</official-title></form><dc:title>T</dc:title><dc:date> 2024-01-02 </dc:date>
 <section><enum>1.</enum><header>Short title</header><text>x</text></section>
 <section>lead<enum>2.</enum> tail <header>Purpose</header><subsection><text>One,</text></subsection> mid <subsection><text>two .</text></subsection></section>
-<section><enum>3.</enum><header>Outer</header><text>body <quote><section><enum>9.</enum><text>inner</text></section></quote> end</text></section></bill>"""
+<section><enum>3.</enum><header>Outer</header><text>body <quote><section><enum>9.</enum><text>inner</text></section></quote> end</text></section></bill>""" % xml._DC[1:-1].encode()
 
 
 def put(path, content):
