@@ -163,7 +163,7 @@ def version_choice(status: Column, kind: Column) -> Column:
         for m in marks:
             hit = hit | F.contains(s, F.lit(m))
         codes = F.when(hit, F.array(*map(F.lit, versions))).otherwise(codes)
-    chamber = F.when(kind.isin("hr", "hres", "hjres", "hconres"), "h").otherwise("s")
+    chamber = F.when(kind.isin(*"hconres hjres hres hr".split()), "h").otherwise("s")
     own = F.filter(codes, lambda v: (v == "enr") | v.endswith(chamber))
     return F.when(F.size(own) > 0, own).otherwise(codes)
 

@@ -30,8 +30,8 @@ def hash_embedding(key: str, size: int) -> list[float]:
         links.append(hashlib.sha256(links[-1]).digest())
         raw += links[-1]
     values = [x / 2**31 for x in struct.unpack_from(f">{size}i", raw)]
-    norm = math.sqrt(sum(v * v for v in values)) or 1.0
-    return [v / norm for v in values]
+    length = math.hypot(*values) or 1.0
+    return [v / length for v in values]
 
 
 def hash_embedding_udf(dimensions: int):

@@ -77,7 +77,8 @@ def sections(root: ET.Element) -> list[dict]:
             continue
         subs = [clean(joined(s)) for s in node.iter("subsection")]
         enum = clean(number.text) if number is not None and number.text else ""
-        out.append({"enum": enum, "header": header, "body_text": body, "sub_texts": [s for s in subs if s] if len(subs) > 1 else []})
+        several = [s for s in subs if s] if len(subs) > 1 else []
+        out.append(dict(zip(("enum", "header", "body_text", "sub_texts"), (enum, header, body, several))))
     return out
 
 
