@@ -22,6 +22,7 @@ PARSED = (
 )
 
 
+_TAG = re.compile("<[^>]+>")
 _SPACES = re.compile(r"\s+")
 _BEFORE_MARK = re.compile(r" (?=[.,;:)])")
 
@@ -100,7 +101,7 @@ def parse(content: bytes) -> dict:
     try:
         root = ET.fromstring(content)
     except ET.ParseError:
-        stripped = re.sub(r"\s+", " ", re.sub(r"<[^>]+>", " ", content.decode("utf-8", "replace"))).strip()
+        stripped = _SPACES.sub(" ", _TAG.sub(" ", str(content, "utf-8", "replace"))).strip()
         return {"ok": False, "hash_text": stripped}
     return {"ok": True, "full_text": clean(joined(root)), "hash_text": hash_text(root), "sections": sections(root), **metadata(root)}
 
