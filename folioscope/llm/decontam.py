@@ -186,7 +186,7 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int) -> list[str]:
 
 def _hits(column: pa.Array, paths: list[str]) -> dict[str, list]:
     out: dict[str, list] = {"n_words": [], "n_hit": [], "items": []}
-    for lo, hi in scan.slices(column, 2 << 20):
+    for lo, hi in scan.slices(column, 1 << 20):
         data, offs = scan.texts(column, lo, hi)
         starts, ends, bounds = scan.words(data, offs, scan.ALNUM)
         h = scan.span_hash(scan.prefix_sums(data, scan.FOLD), starts, ends)

@@ -36,8 +36,8 @@ def clean(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     keep[1:] |= letter[:-1]  # one space after each run of letters
     keep[offs[:-1][offs[:-1] < len(data)]] = letter[offs[:-1][offs[:-1] < len(data)]]
     out = np.where(letter, data, _SPACE)[keep].astype(np.uint8)
-    before = np.concatenate([[0], np.cumsum(keep)])
-    return out, before[offs]
+    before = np.cumsum(keep, dtype=np.int32)
+    return out, np.where(offs > 0, before[np.maximum(offs, 1) - 1], 0) if len(before) else offs
 
 
 class Automaton:
@@ -89,7 +89,7 @@ class Model:
         samples = {k: s[:longest] for k, s in samples.items()}
         automata = [Automaton(samples[k]) for k in self.langs]
         seen = np.unique(np.concatenate([a.edges[:, 1] for a in automata])) if automata else np.zeros(0, int)
-        self.symbol = np.zeros(256, np.int64)  # 0: never seen
+        self.symbol = np.zeros(256, np.int32)  # 0: never seen
         self.symbol[seen] = np.arange(1, len(seen) + 1)
         self.width = width = len(seen) + 1
         # each language has its own copy of row 1 at the start of its part of the table

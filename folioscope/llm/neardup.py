@@ -112,7 +112,7 @@ def similar(a: pa.Array, b: pa.Array, percent: int) -> np.ndarray:
     lo = 0
     offs = scan.texts(mixed)[1]
     while lo < n:
-        hi = int(np.searchsorted(offs, offs[2 * lo] + (2 << 20), "right") - 1) // 2
+        hi = int(np.searchsorted(offs, offs[2 * lo] + (1 << 20), "right") - 1) // 2
         hi = min(n, max(hi, lo + 1))
         s, text, bounds = shingles(*scan.texts(mixed, 2 * lo, 2 * hi))
         pair = text // 2
@@ -185,6 +185,7 @@ def _residual(units: DataFrame, percent: int) -> DataFrame:
                     yield from flush()
                     held, key = [], now
                 held.append(batch.slice(lo, hi - lo))
+            scan.trim()
         yield from flush()
 
     return units.mapInArrow(run, "a long, b long")

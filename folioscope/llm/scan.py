@@ -7,6 +7,7 @@ prefix sums), so that no Python object is made per word.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -19,6 +20,10 @@ _MULT = _U(0x9E3779B97F4A7C15 | 1)
 _INV = _U(pow(int(_MULT), -1, 1 << 64))
 _TABLE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 64, 256, dtype=np.uint64)
 _LEN = _U(0xD6E8FEB86659FD93)
+try:
+    _TRIM = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):  # another C library
+    _TRIM = None
 _POWERS: dict[str, np.ndarray] = {}
 
 #: `[^\x20\x09-\x0D]`: everything but ASCII white space.
@@ -67,7 +72,7 @@ def texts(column: pa.Array, lo: int = 0, hi: int | None = None) -> tuple[np.ndar
     return b[o[0] : o[-1]], o - o[0]
 
 
-def slices(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Row ranges whose bytes are about ``most``; a longer single row is a range of its own."""
     n = len(column)
     if n == 0:
@@ -131,6 +136,13 @@ def per_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return c[bounds[1:]] - c[bounds[:-1]]
 
 
+def trim() -> None:
+    """Gives freed memory back to the system: workers live on, and an executor's memory is shared by all of them."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``mapInArrow`` for a function of one batch."""
 
@@ -138,6 +150,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
         for batch in batches:
             if batch.num_rows and (out := fn(batch)) is not None:
                 yield out
+            trim()
 
     return df.mapInArrow(run, schema)
 

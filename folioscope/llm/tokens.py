@@ -11,6 +11,7 @@ attempt and returns its name; only files named by successful tasks are read, so
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
@@ -93,6 +94,8 @@ class Encoder:
     """Ids of texts; remembers the ids of up to ``most`` distinct pieces."""
 
     def __init__(self, path: str, most: int = 2_000_000) -> None:
+        # a task has one core; threads of the library would only add memory
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -107,7 +110,8 @@ class Encoder:
         self.ids = np.zeros(0, np.uint32)
 
     def _library(self, batch: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
+        # few at a time: the library's results hold far more than the ids
+        return [e.ids for k in range(0, len(batch), 1024) for e in self.tokenizer.encode_batch_fast(batch[k : k + 1024], add_special_tokens=False)]
 
     def _learn(self, key: np.ndarray, strings: list[str]) -> None:
         found = self._library(strings)
@@ -268,6 +272,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, folder:
                     writer = Writer(fs.open_output_stream(f"{path}/{name}"))
                 ids, number = with_end(*enc.encode(*scan.texts(batch.column(1), lo, hi)), end_id)
                 writer.add(doc_ids[lo:hi], ids, number)
+            scan.trim()
         if writer is not None:
             yield pa.RecordBatch.from_pydict(dict(zip(names, ([x] for x in (part, name, *writer.close())))))
 
