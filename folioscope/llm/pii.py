@@ -9,7 +9,9 @@ character the source span it came from:
 3. spelled digits: runs of at least three of zero to nine, ``oh``, ``double x``, ``triple x``, ``plus``, ``dot``/``point``.
 
 The detectors run on what comes out, and their spans are mapped back. A mapped span is added if it holds something
-that was rewritten and overlaps no base span of its kind. A spelled run of 9 to 15 digits that is no card is a phone.
+that was rewritten. Where base spans of its kind cover a part of it only, the parts beside them are added: base spans
+stay, no two spans of a kind overlap, and together they mark the whole identifier. A spelled run of 9 to 15 digits that
+is no card is a phone.
 
 Offsets are code points, end exclusive. Texts without any trigger pay only for the base detectors.
 """
@@ -19,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -231,6 +234,21 @@ _TRIGGER = re.compile(
     re.I,
 )
 
+
+def _beside(text: str, start: int, end: int, base: list[Span]) -> list[tuple[int, int]]:
+    """The parts of a source span that no base span covers, without white space at their ends. base: of one kind."""
+    out = []
+    for k in range(bisect_right(base, start, key=lambda s: s[2]), len(base) + 1):
+        a, b = (base[k][0], base[k][2]) if k < len(base) and base[k][0] < end else (end, end)
+        part = text[start:a]
+        if part.strip():
+            out.append((start + len(part) - len(part.lstrip()), start + len(part.rstrip())))
+        start = b
+        if start >= end:
+            break
+    return out
+
+
 def added(text: str, base: list[Span]) -> list[Span]:
     """The spans that only show once disguises are rewritten."""
     if not _TRIGGER.search(text):
@@ -247,11 +265,11 @@ def added(text: str, base: list[Span]) -> list[Span]:
         if 9 <= n <= 15 and not any(s < b and a < e for s, _, e in spans):
             spans.append((a, 3, b))
     out = []
+    of_kind = [[s for s in base if s[1] == k] for k in range(len(KINDS))]
     for a, kind, b in spans:
         start, end = tape.start[a], tape.end[b - 1]
-        rewritten = any(tape.changed[a:b]) or end - start != b - a
-        if rewritten and not any(k == kind and s < end and start < e for s, k, e in base):
-            out.append((start, kind, end))
+        if any(tape.changed[a:b]) or end - start != b - a:
+            out += [(s, kind, e) for s, e in _beside(text, start, end, of_kind[kind])]
     return sorted(set(out))
 
 

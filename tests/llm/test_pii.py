@@ -41,6 +41,30 @@ def test_base_spans_stay_and_are_never_doubled():
     assert len(base) == 1 and [text[s:e] for s, _, e in pii.added(text, base)] == ["x [at] y [dot] zz"]
 
 
+@pytest.mark.parametrize(
+    "text, base, kind",
+    [
+        ("j\u043ehn@example.com", "hn@example.com", "email"),
+        ("jo\u200bhn@example.com", "hn@example.com", "email"),
+        ("john@example.c\u043em", "john@example.c", "email"),
+        ("j\u043ehn@example.c\u043em", "hn@example.c", "email"),
+        ("john@mail.example [dot] com", "john@mail.example", "email"),
+        ("john@example.co [dot] uk", "john@example.co", "email"),
+        ("john [dot] doe@example.com", "doe@example.com", "email"),
+        ("+1 415 555 26 seven one seven", "+1 415 555 26", "phone"),
+        ("+1 415 555 26\u200b71", "+1 415 555 26", "phone"),
+    ],
+)
+def test_identifiers_with_a_partial_base_match_are_marked_whole(text, base, kind):
+    padded = f"say {text} now"
+    spans = pii.detect(padded)
+    assert [(pii.KINDS[k], padded[s:e]) for s, k, e in spans] == [(kind, base)]
+    more = pii.added(padded, spans)
+    assert more and {k for _, k, _ in more} == {pii.KINDS.index(kind)}
+    marked = {p for s, _, e in [*spans, *more] for p in range(s, e)}
+    assert {p for p in range(4, 4 + len(text)) if not padded[p].isspace()} <= marked <= set(range(4, 4 + len(text)))
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(list("a1 .@+-()") + ["25", " at ", " dot ", "one ", "two ", "о", "\u200b", "[at]", "（"]), max_size=40).map("".join))
 def test_added_spans_lie_in_the_text_apart_from_base_ones(text):
