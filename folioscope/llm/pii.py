@@ -4,8 +4,8 @@ Base detectors run on the text itself. Then a chain of transducers rewrites disg
 character the source span it came from:
 
 1. characters: homoglyphs, full-width and mathematical forms, digits of other scripts to ASCII; zero-width ones vanish;
-2. references and marks: ``&#64;``, ``[at]``, ``(dot)``, ``{punkt}``, and bare ``at`` / ``dot`` between words where at
-   least one ``dot`` is spelled too, so that "look at example.com" stays;
+2. references and marks: ``&#64;``, ``[at]``, ``(dot)``, ``{punkt}``, ``_at_``, an @ with white space beside it, and
+   bare ``at`` / ``dot`` between words where at least one ``dot`` is spelled too, so that "look at example.com" stays;
 3. spelled digits: runs of at least three of zero to nine, ``oh``, ``double x``, ``triple x``, ``plus``, ``dot``/``point``.
 
 The detectors run on what comes out, and their spans are mapped back. A mapped span is added if it holds something
@@ -170,28 +170,96 @@ def characters(tape: Tape) -> None:
 
 _OPEN, _SHUT = r"[\[({<]", r"[\])}>]"
 _MARK = re.compile(
-    rf"(?P<at>\s{{0,8}}{_OPEN}\s{{0,8}}(?:at|@|arroba|arobase)\s{{0,8}}{_SHUT}\s{{0,8}}|\s{{0,8}}&(?:\#0*64|\#x0*40|commat);\s{{0,8}}|(?<=[A-Za-z0-9])[_*]at[_*](?=[A-Za-z0-9-]+[_*]dot[_*]))"
-    rf"|(?P<dot>\s{{0,8}}{_OPEN}\s{{0,8}}(?:dot|\.|punkt|punto|point|d0t)\s{{0,8}}{_SHUT}\s{{0,8}}|\s{{0,8}}&(?:\#0*46|\#x0*2e|period);\s{{0,8}}|(?<=[A-Za-z0-9])[_*]dot[_*](?=[A-Za-z0-9]))",
+    rf"(?P<at>{_OPEN}\s*+(?:at|@|arroba|arobase)\s*+{_SHUT}|&(?:\#0*+64|\#x0*+40|commat);|(?<=[A-Za-z0-9])[_*]at[_*](?=[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]|[_*]dot[_*])))"
+    rf"|(?P<dot>{_OPEN}\s*+(?:dot|\.|punkt|punto|point|d0t)\s*+{_SHUT}|&(?:\#0*+46|\#x0*+2e|period);|(?<=[A-Za-z0-9])[_*]dot[_*](?=[A-Za-z0-9]))",
     re.I,
 )
-_ADDRESS = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9%+_-]+(?:(?:\.|\s{1,8}dot\s{1,8})[A-Za-z0-9%+_-]+){0,8}(?P<at>\s{1,8}at\s{1,8}|\s{0,8}@\s{0,8})[A-Za-z0-9-]+(?:(?:\.|\s{1,8}dot\s{1,8})[A-Za-z0-9-]+){1,8}", re.I
-)
-_DOT = re.compile(r"\s{1,8}dot\s{1,8}", re.I)
+_AT = re.compile(r"(?<=\s)at(?=\s)|@", re.I)
+_LABEL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789%+_-")
+_HOST = re.compile(r"[A-Za-z0-9-]++")
+_NEXT = re.compile(r"(?:\.|(?P<dot>\s++dot\s++))[A-Za-z0-9-]++", re.I)
+
+
+def _back(text: str, at: int, least: int) -> int:
+    """Where the white space that ends at ``at`` begins, at ``least`` or later."""
+    while at > least and text[at - 1].isspace():
+        at -= 1
+    return at
+
+
+def _ahead(text: str, at: int) -> int:
+    while at < len(text) and text[at].isspace():
+        at += 1
+    return at
+
+
+def _local(text: str, end: int, least: int) -> tuple[int, list[tuple[int, int, str]]]:
+    """Start of the labels that end at ``end``, joined by dots or spelled dots, and the spelled ones among these."""
+    dots: list[tuple[int, int, str]] = []
+    start, sep = end, None  # sep: a spelled dot that counts if a label comes before it
+    at = end
+    while True:
+        label = at
+        while at > least and text[at - 1] in _LABEL:
+            at -= 1
+        if at == label:
+            return start, dots
+        if sep:
+            dots.append(sep)
+        start, sep = at, None
+        if at > least and text[at - 1] == ".":
+            at -= 1
+            continue
+        word = _back(text, at, least)
+        if word == at or word - 3 <= least or text[word - 3 : word].lower() != "dot":
+            return start, dots
+        before = _back(text, word - 3, least)
+        if before == word - 3:
+            return start, dots
+        sep, at = (before, at, "."), before
+
+
+def _addresses(text: str) -> list[tuple[int, int, str]]:
+    """Edits for addresses with a spelled dot, or with white space beside their @: each @ or bare ``at`` is followed outwards.
+
+    What one address has taken is not looked at again, and labels and spelled dots alternate, so that the walk to either
+    side of a mark passes at most one other mark: linear, for any number of labels and of white spaces.
+    """
+    edits: list[tuple[int, int, str]] = []
+    done = 0
+    bare = re.search(r"\sdot\s", text, re.I) is not None
+    for m in _AT.finditer(text):
+        if m.start() < done or not (bare or m[0] == "@"):
+            continue
+        a, b = _back(text, m.start(), done), _ahead(text, m.end())
+        if a == done or text[a - 1] not in _LABEL or not (host := _HOST.match(text, b)):
+            continue
+        end, right = host.end(), []
+        while n := _NEXT.match(text, end):
+            if n["dot"]:
+                right.append((*n.span("dot"), "."))
+            end = n.end()
+        if end == host.end():
+            continue
+        left = _local(text, a, done)[1]
+        if left or right or m[0] == "@" and b - a > 1:
+            edits += [*reversed(left), *([(a, b, "@")] if b - a > 1 else []), *right]
+        done = end
+    return edits
 
 
 def marks(tape: Tape) -> None:
     if re.search(r"[\[({<&_*]", tape.text):
-        tape.replace([(m.start(), m.end(), "@" if m["at"] else ".") for m in _MARK.finditer(tape.text)])
-    low = tape.text.lower()
-    if "dot" in low or " @" in low or "@ " in low:
-        edits = []
-        for m in _ADDRESS.finditer(tape.text):
-            dots = [(d.start(), d.end(), ".") for d in _DOT.finditer(tape.text, *m.span())]
-            bare = m["at"].strip() != "@"
-            if dots or not bare and m["at"] == " @ ":
-                edits += sorted([*dots, *([(m.start("at"), m.end("at"), "@")] if m["at"] != "@" else [])])
+        edits, done = [], 0
+        for m in _MARK.finditer(tape.text):
+            a, b = m.span()
+            if m[0][0] not in "_*":
+                a, b = _back(tape.text, a, done), _ahead(tape.text, b)
+            edits.append((a, b, "@" if m["at"] else "."))
+            done = b
         tape.replace(edits)
+    if re.search(r"\sdot\s|\s@|@\s", tape.text, re.I):
+        tape.replace(_addresses(tape.text))
 
 
 _VALUE = {w: str(k) for k, ws in enumerate(("zero oh", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine")) for w in ws.split()}
@@ -230,7 +298,7 @@ def spelled(tape: Tape) -> list[tuple[int, int]]:
 _PLAIN = "\u00c0-\u024f¡¿«»§°£€ªº“”‘’„…"  # letters and marks of ordinary text that stand for nothing else
 _TRIGGER = re.compile(
     rf"[^\x00-\x7f{_PLAIN}]|"
-    r"[\[({<]\s*(?:at|@|dot|\.|arroba|arobase|punkt|punto|point|d0t)\s*[\])}>]|&(?:#|commat|period)|[_*](?:at|dot)[_*]|\sdot\s|\s@\s|@\s|\b(?:zero|one|two|three|four|five|six|seven|eight|nine)[\s,-]+(?:double|triple|zero|oh|one|two|three|four|five|six|seven|eight|nine|[0-9])",
+    r"[\[({<]\s*(?:at|@|dot|\.|arroba|arobase|punkt|punto|point|d0t)\s*[\])}>]|&(?:#|commat|period)|[_*](?:at|dot)[_*]|\sdot\s|\s@|@\s|\b(?:zero|one|two|three|four|five|six|seven|eight|nine)[\s,-]+(?:double|triple|zero|oh|one|two|three|four|five|six|seven|eight|nine|[0-9])",
     re.I,
 )
 

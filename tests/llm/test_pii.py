@@ -65,6 +65,25 @@ def test_identifiers_with_a_partial_base_match_are_marked_whole(text, base, kind
     assert {p for p in range(4, 4 + len(text)) if not padded[p].isspace()} <= marked <= set(range(4, 4 + len(text)))
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "john@ example.com",
+        "john  @ example.com",
+        "john @example.com",
+        "john\n@\texample.com",
+        "john_at_example.com",
+        "john" + " " * 30 + "[at]" + " " * 30 + "example" + " " * 30 + "[dot]" + " " * 30 + "com",
+        "john [" + " " * 30 + "at" + " " * 30 + "] example.com",
+        "john" + " " * 30 + "at" + " " * 30 + "example" + " " * 30 + "dot" + " " * 30 + "com",
+        "a dot " * 20 + "b at " + "c dot " * 20 + "com",
+        "a." * 20 + "b at " + "c." * 20 + "d dot com",
+    ],
+)
+def test_any_white_space_and_any_number_of_labels(text):
+    assert found(f"say, {text}, now") == [("email", text)]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(list("a1 .@+-()") + ["25", " at ", " dot ", "one ", "two ", "о", "\u200b", "[at]", "（"]), max_size=40).map("".join))
 def test_added_spans_lie_in_the_text_apart_from_base_ones(text):
@@ -103,6 +122,16 @@ def test_long_runs_take_linear_time(run):
     assert time.process_time() - began < 8 and any(s == 0 for s, _, _ in base)
 
 
+@pytest.mark.parametrize("run", ["a dot ", "a at ", "a @ ", "at dot ", "dot dot at ", "a @b.c ", "[ at ", "a_at_b.", "a . dot ", "\n"])
+def test_long_runs_of_marks_take_linear_time(run):
+    import time
+
+    text = "me@x.yz at q dot com " + run * (200_000 // len(run)) + " one two three a@b.cd"
+    began = time.process_time()
+    pii.added(text, pii.detect(text))
+    assert time.process_time() - began < 16
+
+
 def test_query_columns(spark):
     rows = [(1, "a@b.co at c [dot] d 1.2.3.4"), (2, None), (3, ""), (1, "a@b.co at c [dot] d 1.2.3.4")]
     got = pii.personal_data(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, spans string")).collect()
