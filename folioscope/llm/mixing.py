@@ -7,7 +7,7 @@ lambda, target = min(cap, weight * lambda)).
 Sampling: each document of a source is expected target / source_size times. The whole part of this is allocated to
 every document; the rest is an inclusion probability p, and documents are taken in ascending order of
 [u / (1 - u)] / [p / (1 - p)], u uniform by a hash of doc_id, up to the place where the source's words come nearest its
-target. p differs between sources, and between documents where ``weight`` is given.
+target. p differs between sources; within one it is the same for all documents, so there the order is that of u alone.
 
 No source is ever sorted: two histograms of the order, 4,096 bins each, narrow the place down to 2^-24 of a source.
 """
