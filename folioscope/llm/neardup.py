@@ -276,9 +276,26 @@ def _result(sig: DataFrame, final: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """The rows of ``docs``, all columns kept, whose document is its component's least."""
-    gone = scan.checkpointed(near_duplicates(docs, percent).where("not kept").select("doc_id").distinct())
-    return skew.by_ids(docs, "doc_id", gone, gone.count(), "left_anti")
+    """The rows of ``docs``, all columns kept, whose document is its component's least; of its equal rows, one.
+
+    Rows without doc_id take part under an id made from their text, above 2^62, so that others go first. Texts of one
+    doc_id are equal if they differ in case and white space only. Rows without words are no copies and stay.
+    """
+    key, same = (next(c for k in range(len(docs.columns) + 1) if (c := f"{name}_{k}") not in docs.columns) for name in ("__id", "__same"))
+    words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    made = F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(F.lit(1 << 62))
+    rows = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("bigint"), F.when(words, made)))
+    near = scan.checkpointed(near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), percent).select(F.col("doc_id").alias(key), "kept"))
+    gone = near.where("not kept").select(key).distinct()
+    left = skew.by_ids(rows, key, gone, gone.count(), "left_anti")
+    again = scan.checkpointed(near.where(F.col("kept") & F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(same)).where(F.col(same) > 1).select(key))
+    if n := again.count():
+        twice = skew.by_ids(left, key, again, n, "left_semi")
+        folded = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+        folded = F.trim(F.regexp_replace(folded, r"[\x20\x09-\x0D]+", " "))
+        one = twice.where(words).withColumn(same, folded).dropDuplicates([key, same]).drop(same)
+        left = skew.by_ids(left, key, again, n, "left_anti").unionByName(twice.where(~words)).unionByName(one)
+    return left.select(*docs.columns)
 
 
 SQL = r"""

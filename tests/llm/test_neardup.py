@@ -98,3 +98,14 @@ def test_edges(spark, rows):
     got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(got) == len(rows) and all(r["kept"] and r["component_id"] == r["doc_id"] for r in got)
     assert neardup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).count() == len(rows)
+
+
+def test_repeated_and_missing_ids_leave_one_row_of_a_group(spark):
+    long = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, "a b c d"), (1, "a b c d"), (1, "A  b c d"), (1, "other words of one id"), (2, "e f g h"), (None, "E f g h"), (None, "i j k l"), (None, "i j k l"), (3, long), (None, long + " more")]
+    rows += [(None, None), (None, None), (4, ""), (4, "")]
+    df = spark.createDataFrame([(*r, 0, 0) for r in rows], "doc_id long, text string, __id_0 int, __same_0 int")
+    out = neardup.deduplicated(df)
+    got = sorted(((r["doc_id"], (r["text"] or "").lower().split()) for r in out.collect()), key=str)
+    want = [(1, "a b c d"), (1, "other words of one id"), (2, "e f g h"), (None, "i j k l"), (3, long), (None, ""), (None, ""), (4, ""), (4, "")]
+    assert out.columns == df.columns and got == sorted(((i, t.split()) for i, t in want), key=str)
