@@ -6,8 +6,9 @@ the root again. Phrases, weighted by the log of the sample's length and divided
 cross entropy; the least wins. Texts are cut into segments of SEGMENT bytes, which are all parsed (a cut adds at most
 one phrase); segments of all texts and languages advance through one table of transitions in lockstep.
 
-Sample (the only bound): whole labelled texts in order of a hash of (doc_id, text) until ``sample_bytes`` of cleaned
-text per language. Cleaning: lower case, runs of anything but letters become one space.
+Sample: whole labelled texts in order of a hash of (doc_id, text) until ``sample_bytes`` of cleaned text per language,
+for the ``most_langs`` languages with most documents. The table of transitions is a second bound: with many languages
+each sample is cut until the table fits ``table_bytes``. Cleaning: lower case, runs of anything but letters become one space.
 """
 
 from __future__ import annotations
