@@ -1,8 +1,8 @@
 r"""Token-ID output: byte-level BPE ids in Simple-8b files.
 
 Tokenising: the BPE's splitting rule is applied to whole buffers with NumPy; the library encodes each distinct piece
-once per worker and the ids are gathered by the piece's hash. Texts with characters outside the classes known here
-are encoded whole by the library, so ids always equal the library's.
+once per worker and the ids are gathered by the piece's hash. Texts with characters outside the classes known here, or
+with the string of an added token, are encoded whole by the library, so ids always equal the library's.
 
 Files: documents in ascending doc_id order (nulls first, ties by text hash), range-partitioned, one file each. A file
 has the blocks of ids, then the block offsets, then doc_ids, and ids per document. A task writes a new file per
@@ -99,7 +99,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.most = most
         self._clear()
 
@@ -113,6 +113,18 @@ class Encoder:
         # few at a time: the library's results hold far more than the ids
         return [e.ids for k in range(0, len(batch), 1024) for e in self.tokenizer.encode_batch_fast(batch[k : k + 1024], add_special_tokens=False)]
 
+    def _with_added(self, raw: bytes, offs: np.ndarray) -> np.ndarray:
+        """Texts that hold the string of an added token, which no piece shows."""
+        out = np.zeros(len(offs) - 1, bool)
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                k = int(np.searchsorted(offs, at, "right")) - 1
+                inside = at + len(token) <= offs[k + 1]
+                out[k] |= inside
+                at = raw.find(token, int(offs[k + 1]) if inside else at + 1)
+        return out
+
     def _learn(self, key: np.ndarray, strings: list[str]) -> None:
         found = self._library(strings)
         count = np.fromiter(map(len, found), np.int32, len(found))
@@ -128,6 +140,7 @@ class Encoder:
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(rows, np.int64)
         start, bounds, unknown = pieces(data, offs)
+        unknown |= self._with_added(data.tobytes(), offs)
         end = np.append(start[1:], len(data))
         if unknown.any():
             known = np.repeat(~unknown, np.diff(bounds))

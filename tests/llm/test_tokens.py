@@ -48,6 +48,17 @@ def test_ids_equal_the_library(enc, texts):
     assert ids_of(enc, texts, 1) == want
 
 
+@settings(max_examples=100, deadline=None)
+@given(texts=st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", "<|", " ", "ab", "é", "’"]), max_size=6).map("".join), min_size=1, max_size=6))
+def test_added_tokens_are_those_of_the_unswitched_library(enc, texts):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokens.default_tokenizer())
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids_of(enc, texts) == want and ids_of(enc, texts, 1) == want
+    assert ids_of(enc, ["a<|endoftext|>b"])[0].count(50256) == 1
+
+
 def test_forgetting_changes_nothing(enc):
     small = tokens.Encoder(tokens.default_tokenizer(), most=10)
     rng = random.Random(1)
