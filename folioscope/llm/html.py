@@ -4,8 +4,9 @@ A tolerant parser builds the tree (void elements, implied ends of p, li, td and
 Unwanted parts go first: by tag (nav, header, footer, aside, form, script, ...) and by class, id or role (menus, adverts,
 notices, comments, ...). Each paragraph then gives points, 1 + its commas + 1 per 100 characters up to 3, to its parent,
 and half to its grandparent, a third to the next, and so on; a container's score is its points and a weight of its tag and
-class, times 1 - link density. The best container is kept with the siblings that score at least a fifth of it or are
-prose themselves. An ``article`` or ``main`` that holds the best container is kept whole.
+class, times 1 - link density. The best container is kept with those siblings, text beside it included, of which links
+make up less than a quarter, of any length, or that score at least a fifth of it. An ``article`` or ``main`` that holds the
+best container is kept whole; what stands beside it must be prose of some length or score as much.
 
 Output: character references decoded, white space inside a block made one space, blocks joined by one newline.
 """
@@ -197,7 +198,7 @@ def _score(node: Node) -> float:
     return (node.points + weight) * (1 - node.linked / max(1, node.chars)) if node.points else 0.0
 
 
-def _blocks(nodes: list[Node]) -> list[str]:
+def _blocks(nodes: list[Node | str]) -> list[str]:
     out: list[str] = []
     text: list[str] = []
 
@@ -221,7 +222,24 @@ def _blocks(nodes: list[Node]) -> list[str]:
                 flush()
                 stack.append((node, True))
                 stack.extend((c, False) for c in reversed(node.children))
-        flush()
+    flush()
+    return out
+
+
+def _runs(parent: Node) -> list[list[Node | str]]:
+    """The children of an element: each block alone, text and inline elements that follow one another together."""
+    out: list[list[Node | str]] = []
+    inline = False
+    for c in parent.children:
+        if isinstance(c, str) or c.tag in _INLINE:
+            if inline:
+                out[-1].append(c)
+            else:
+                out.append([c])
+            inline = True
+        else:
+            out.append([c])
+            inline = False
     return out
 
 
@@ -241,8 +259,8 @@ def extract(page: str | None) -> str:
         up = up.parent
     if up is not None:
         best = up
-    siblings = [best]
-    if best.parent is not None:
+    siblings: list[Node | str] = [best]
+    if best.parent is not None and best.tag in ("article", "main"):
         value = dict((id(x), s) for x, s in scored)
         siblings = []
         for s in best.parent.children:
@@ -255,6 +273,19 @@ def extract(page: str | None) -> str:
                 prose = s.tag in ("p", "h1", "h2", "h3", "blockquote", "pre", "ul", "ol", "table") and density < 0.25 and (s.chars > 80 or s.tag[0] == "h")
                 if value.get(id(s), 0) + bonus >= max(10, 0.2 * top) or prose and best.tag != "article":
                     siblings.append(s)
+    elif best.parent is not None:
+        value = dict((id(x), s) for x, s in scored)
+        siblings = []
+        for run in _runs(best.parent):
+            chars = sum(s.chars if isinstance(s, Node) else len(_SPACE.sub(" ", s).strip()) for s in run)
+            linked = sum(s.linked for s in run if isinstance(s, Node))
+            first = run[0]
+            alike = isinstance(first, Node) and first.name == best.name != "" and first.tag == best.tag
+            scores = value.get(id(first), 0) + (0.2 * top if alike else 0) >= 0.2 * top
+            if first is best or chars and (linked < 0.25 * chars or scores):
+                siblings += run
+            else:
+                siblings.append(Node("br", "", best.parent))
     return "\n".join(_blocks(siblings))
 
 

@@ -30,6 +30,28 @@ def test_extract(source, want):
     assert html.extract(source) == want
 
 
+@pytest.mark.parametrize(
+    "beside, want",
+    [
+        ("<p>Short.</p>", "Short."),
+        ("<h5>Small heading</h5>", "Small heading"),
+        ("<dl><dt>Term<dd>Meaning</dl>", "Term\nMeaning"),
+        ("<figure><img src=x><figcaption>A caption</figcaption></figure>", "A caption"),
+        ("bare <b>text</b>, with <a href=x>a link</a> in a long enough line", "bare text, with a link in a long enough line"),
+        (f"<section class=extra><p>{PROSE}</p></section>", PROSE),
+        ("<div class=extra>Few words.</div>", "Few words."),
+        ("<p><a href=x>only a link</a></p>", None),
+        ("<a href=x>only a link</a>", None),
+        ("<div class=cookie-notice><p>Short.</p></div>", None),
+    ],
+)
+def test_link_poor_siblings_of_any_length_are_kept(beside, want):
+    main = "<div class=content>" + f"<p>{PROSE}</p>" * 30 + "</div>"
+    prose = "\n".join([PROSE] * 30)
+    assert html.extract(page(main, beside)) == (f"{want}\n{prose}" if want else prose)
+    assert html.extract(page(main, "", beside)) == (f"{prose}\n{want}" if want else prose)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div>", "</div>", "<b>", "</b>", "<nav>", "</nav>", "<script>", "</script>", "<!--", "-->", "<", ">", "&amp;", "<li>", "<td>", "<table>", "</table>", "text, ", "<article>", "</article>", "<br/>", "<a href='", "'>", "<![CDATA[", "]]>", "</"]), max_size=30))
 def test_any_soup_is_parsed(parts):
