@@ -67,8 +67,31 @@ def test_mix_is_near_its_targets_and_repeatable(spark):
     assert mixed.agg({"text": "count"}).first() and mixed.select(mixing.size_of(mixed["text"]).alias("n")).agg({"n": "sum"}).first()[0] == taken
 
 
-def test_inclusion_follows_the_odds():
-    """Pareto sampling: a document with greater inclusion probability has a smaller key for the same draw."""
-    u = 0.3
-    keys = [q / (1 + q) for p in (0.1, 0.5, 0.9) for q in [(u / (1 - u)) / (p / (1 - p))]]
-    assert keys == sorted(keys, reverse=True)
+def test_inclusion_follows_the_odds(spark):
+    """201 sources alike but for their ids: the mean number of copies of a document follows its expectation."""
+    sizes = [4, 16, 36, 100, 225, 400]
+    rows = [(s * 100 + d, f"s{s:03d}", "w " * sizes[d % 6]) for s in range(201) for d in range(60)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    for turn in (1, 2):  # sources that weigh 1 and 2 are below their caps
+        own = [r for r in got if int(r["source"][1:]) % 3 == turn]
+        goal = own[0]["target"]
+        low, high = 0.0, 10.0
+        for _ in range(100):
+            lam = (low + high) / 2
+            total = sum(10 * n * min(2, lam * int(n**0.5)) for n in sizes)
+            low, high = (lam, high) if total < goal else (low, lam)
+        means = {n: [r["taken"] / n for r in own if r["size"] == n] for n in sizes}
+        for n, copies in means.items():
+            assert sum(copies) / len(copies) == pytest.approx(min(2, lam * int(n**0.5)), abs=0.08)
+        assert means[4] and sum(means[400]) > 1.5 * sum(means[4])
+        for s in {r["source"] for r in own}:
+            assert abs(sum(r["taken"] for r in own if r["source"] == s) - goal) <= 200
+
+
+def test_own_weights(spark):
+    rows = [(k, "a" if k % 2 else "b", "w " * 10, (None, -3, 0, 1, 4)[k % 5], k % 5) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, quality int, w int")
+    got = {r["doc_id"]: r["taken"] // 10 for r in mixing.mix(docs, 30, weight=docs["quality"]).collect()}
+    assert all(got[k] == 0 for k in got if k % 5 < 3)
+    assert sum(got[k] for k in got if k % 5 == 4) > 2 * sum(got[k] for k in got if k % 5 == 3)
+    assert mixing.mixed_documents(docs, 30, weight=docs["quality"]).count() == sum(got.values())
