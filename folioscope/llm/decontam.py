@@ -4,8 +4,8 @@ Words are runs of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` after lower-casing A-Z. The
 consecutive words of the items (an item of 1 to 12 words is one window). Windows of one length m form one table:
 a block of two words (one if m = 1) hashes to a shift, the least distance from the block to the end of any
 window that holds it; where the shift is 0 the block's bucket lists the windows that end so, a second hash of
-their first words selects, and comparing all m words confirms. Texts are cut into lanes of end positions that
-advance in lockstep, so that one NumPy step moves thousands of search positions.
+their first words selects, then the codes of all m words, and comparing the words themselves, byte by byte, confirms.
+Texts are cut into lanes of end positions that advance in lockstep, so that one NumPy step moves thousands of positions.
 
 The benchmark is written to the shared folder in blocks of bounded size; each task loads a block at a time, so
 nothing that grows is broadcast. Null or wordless texts and items match nothing. Repeated items all count.
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import OrderedDict
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,15 +28,17 @@ from . import scan
 SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 WINDOW = 13
 LANE = 256
+#: Bytes of text of a benchmark block (its tables take about 40 bytes a byte), of a slice of texts, and
+#: slices in a group, and blocks that a worker keeps.
+BLOCK, SLICE, GROUP, KEPT = 2 << 20, 1 << 19, 32, 4
 _K = np.uint64(0x9E3779B97F4A7C15)
 _PREFIX = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 class Table:
-    """Shift table, suffix buckets and windows of one length."""
+    """Shift table, suffix buckets and windows of one length: rows of search codes, one code a word."""
 
     def __init__(self, windows: np.ndarray) -> None:
-        self.windows = windows = np.unique(windows, axis=0)
         count, self.m = windows.shape
         self.block = min(2, self.m)
         self.bits = int(min(22, max(12, 2 + (count * self.m).bit_length())))
@@ -43,8 +46,8 @@ class Table:
         for end in range(self.block, self.m + 1):
             np.minimum.at(self.shift, self._slot(windows, end - 1), self.m - end)
         slot = self._slot(windows, self.m - 1)
-        by = np.argsort(slot, kind="stable")
-        self.windows, slot = windows[by], slot[by]
+        self.order = np.argsort(slot, kind="stable")  # the row of ``windows`` at each place of the buckets
+        self.windows, slot = windows[self.order], slot[self.order]
         self.prefix = self._prefix(self.windows[:, 0], self.windows[:, min(1, self.m - 1)])
         self.bucket = np.searchsorted(slot, np.arange((1 << self.bits) + 1))
 
@@ -58,7 +61,7 @@ class Table:
         return (first.astype(np.uint64) * _K + second.astype(np.uint64)) * _PREFIX
 
     def search(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, start) of every occurrence; ``bounds`` are those of the texts in ``ids``."""
+        """(row, start) of every window whose codes occur; ``bounds`` are those of the texts in ``ids``."""
         m = self.m
         first = bounds[:-1] + m - 1  # the first possible end position of each text
         span = np.maximum(bounds[1:] - first, 0)
@@ -101,59 +104,113 @@ class Table:
             k += 1
         if not found_w:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(found_w), np.concatenate(found_s)
+        return self.order[np.concatenate(found_w)], np.concatenate(found_s)
+
+
+class Words(NamedTuple):
+    """The words of a buffer: its bytes with A-Z folded, where the words stand, their hashes, bounds of the texts."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    h: np.ndarray
+    bounds: np.ndarray
+
+    @classmethod
+    def of(cls, data: np.ndarray, offs: np.ndarray) -> Words:
+        starts, ends, bounds = scan.words(data, offs, scan.ALNUM)
+        data = scan.FOLD[data]
+        return cls(data, starts, ends, scan.span_hash(scan.prefix_sums(data), starts, ends), bounds)
+
+
+def _equal(a: Words, i: np.ndarray, b: Words, j: np.ndarray) -> np.ndarray:
+    """Whether the words i of one buffer are, byte by byte, the words j of the other."""
+    size = a.ends[i] - a.starts[i]
+    out = size == b.ends[j] - b.starts[j]
+    k = np.flatnonzero(out)
+    size = size[k]
+    within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    same = a.data[np.repeat(a.starts[i[k]], size) + within] == b.data[np.repeat(b.starts[j[k]], size) + within]
+    out[k[np.repeat(np.arange(len(k)), size)[~same]]] = False
+    return out
 
 
 class Matcher:
-    """All windows of a block of benchmark items."""
+    """All windows of a block of benchmark items.
+
+    Words have two codes: of their bytes, and, for the search, of their hash; these differ only where hashes collide.
+    """
 
     def __init__(self, items: pa.Table) -> None:
         ids = items.column("item_id").combine_chunks()
         self.items = np.array([str(x) for x in ids.to_pylist()], dtype=object)
-        self.tables: list[tuple[Table, dict[int, np.ndarray]]] = []
-        self.vocabulary = np.zeros(0, np.uint64)
         column = items.column("text").combine_chunks()
         column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-        data, offs = scan.texts(column)
-        starts, ends, bounds = scan.words(data, offs, scan.ALNUM)
-        h = scan.span_hash(scan.prefix_sums(data, scan.FOLD), starts, ends)
-        self.vocabulary = np.unique(h)
-        codes = np.searchsorted(self.vocabulary, h).astype(np.int32) + 1
-        n = np.diff(bounds)
+        self.words = words = Words.of(*scan.texts(column))
+        raw = words.data.tobytes()
+        spelled = pa.array([raw[a:b] for a, b in zip(words.starts.tolist(), words.ends.tolist())], pa.binary())
+        code = spelled.dictionary_encode().indices.to_numpy()
+        _, self.sample = np.unique(code, return_index=True)  # a word of each code
+        of_code = words.h[self.sample]
+        self.vocabulary = np.unique(of_code)
+        by_hash = (np.searchsorted(self.vocabulary, of_code) + 1).astype(np.int32)
+        at = np.argsort(by_hash, kind="stable")  # the codes of each hash
+        self.code_of, self.begin = at, np.searchsorted(by_hash[at], np.arange(len(self.vocabulary) + 2))
+        n = np.diff(words.bounds)
+        self.tables: list[tuple[Table, np.ndarray, np.ndarray, np.ndarray]] = []
         for m in np.unique(np.minimum(n[n > 0], WINDOW)):
             chosen = np.flatnonzero(n == m if m < WINDOW else n >= m)
             number = n[chosen] - m + 1
             of = np.repeat(chosen, number)
-            at = np.repeat(bounds[:-1][chosen], number) + np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
-            windows = codes[at[:, None] + np.arange(m)]
-            table = Table(windows)
-            names, where = np.unique(np.concatenate([table.windows, windows]), axis=0, return_inverse=True)
-            where = where.ravel()
-            place = np.empty(len(names), np.int64)
-            place[where[: len(table.windows)]] = np.arange(len(table.windows))
-            pair = np.unique(np.stack([place[where[len(table.windows) :]], of]), axis=1)
-            self.tables.append((table, (np.searchsorted(pair[0], np.arange(len(table.windows) + 1)), pair[1])))
-
-    def match(self, h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(coverage edges of the words, text of each found item, item)."""
-        ids = np.zeros(len(h), np.int32)
-        edge = np.zeros(len(h) + 1, np.int64)
-        if not len(self.vocabulary) or not len(h):
-            return edge, np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
-        ids = np.where(self.vocabulary[at] == h, at + 1, 0).astype(np.int32)
+            first = np.repeat(words.bounds[:-1][chosen], number) + np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+            windows, which = np.unique(code[first[:, None] + np.arange(m)], axis=0, return_inverse=True)
+            pair = np.unique(np.stack([which.ravel(), of]), axis=1)
+            self.tables.append((Table(by_hash[windows]), windows, np.searchsorted(pair[0], np.arange(len(windows) + 1)), pair[1]))
+
+    def _codes(self, text: Words, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The code of the benchmark word that each of the words ``at`` is, by direct comparison; -1 if it is none."""
+        out = np.full(len(at), -1, np.int64)
+        k = 0
+        while True:  # words of one hash, one after the other: more than one where hashes collide
+            live = np.flatnonzero((out < 0) & (self.begin[ids[at]] + k < self.begin[ids[at] + 1]))
+            if not len(live):
+                return out
+            code = self.code_of[self.begin[ids[at[live]]] + k]
+            same = _equal(text, at[live], self.words, self.sample[code])
+            out[live[same]] = code[same]
+            k += 1
+
+    def match(self, text: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(coverage edges of the words, occurrences of full windows by text, text of each found item, item)."""
+        edge, full = np.zeros(len(text.h) + 1, np.int64), np.zeros(len(text.bounds) - 1, np.int64)
+        none = np.zeros(0, np.int64)
+        if not len(self.vocabulary) or not len(text.h):
+            return edge, full, none, none
+        at = np.minimum(np.searchsorted(self.vocabulary, text.h), len(self.vocabulary) - 1)
+        ids = np.where(self.vocabulary[at] == text.h, at + 1, 0).astype(np.int32)
         texts, found = [], []
-        for table, (begin, item) in self.tables:
-            w, s = table.search(ids, bounds)
+        for table, windows, begin, item in self.tables:
+            w, s = table.search(ids, text.bounds)
             if not len(w):
                 continue
+            span = np.bincount(s, minlength=len(edge)) - np.bincount(s + table.m, minlength=len(edge))
+            place = np.flatnonzero(np.cumsum(span)[:-1] > 0)
+            code = np.full(len(text.h), -1, np.int64)
+            code[place] = self._codes(text, ids, place)
+            ok = np.ones(len(w), bool)
+            for k in range(table.m):
+                ok &= windows[w, k] == code[s + k]
+            w, s = w[ok], s[ok]
             edge += np.bincount(s, minlength=len(edge)) - np.bincount(s + table.m, minlength=len(edge))
+            of = np.searchsorted(text.bounds, s, "right") - 1
+            if table.m == WINDOW:
+                full += np.bincount(of, minlength=len(full))
             number = begin[w + 1] - begin[w]
             k = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
-            found.append(item[np.repeat(begin[w], number) + k])
-            texts.append(np.repeat(np.searchsorted(bounds, s, "right") - 1, number))
-        none = np.zeros(0, np.int64)
-        return edge, np.concatenate(texts or [none]), np.concatenate(found or [none])
+            pair = np.unique(np.stack([np.repeat(of, number), item[np.repeat(begin[w], number) + k]]), axis=1)
+            texts.append(pair[0])
+            found.append(pair[1])
+        return edge, full, np.concatenate(texts or [none]), np.concatenate(found or [none])
 
 
 _LOADED: OrderedDict[str, Matcher] = OrderedDict()
@@ -162,7 +219,7 @@ _LOADED: OrderedDict[str, Matcher] = OrderedDict()
 def _matcher(path: str) -> Matcher:
     if path not in _LOADED:
         fs, name = scan.filesystem(path)
-        while len(_LOADED) >= 4:
+        while len(_LOADED) >= KEPT:
             _LOADED.popitem(last=False)
         _LOADED[path] = Matcher(pq.read_table(name, filesystem=fs, columns=["item_id", "text"]))
     else:
@@ -185,30 +242,41 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int) -> list[str]:
 
 
 def _hits(column: pa.Array, paths: list[str]) -> dict[str, list]:
-    out: dict[str, list] = {"n_words": [], "n_hit": [], "items": []}
-    for lo, hi in scan.slices(column, 1 << 20):
-        data, offs = scan.texts(column, lo, hi)
-        starts, ends, bounds = scan.words(data, offs, scan.ALNUM)
-        h = scan.span_hash(scan.prefix_sums(data, scan.FOLD), starts, ends)
-        edge = np.zeros(len(h) + 1, np.int64)
-        items: dict[int, set[str]] = {}
+    """Per text: words, words hit, occurrences of full windows, ids of the found items.
+
+    With more blocks of the benchmark than a worker keeps, texts are searched in groups of slices, each block for a whole
+    group, so that blocks are built once a group.
+    """
+    size = GROUP if len(paths) > KEPT else 1
+    out: dict[str, list] = {"n_words": [], "n_hit": [], "n_full": [], "items": []}
+    cuts = list(scan.slices(column, SLICE))
+    for g in range(0, len(cuts), size):
+        group = [Words.of(*scan.texts(column, lo, hi)) for lo, hi in cuts[g : g + size]]
+        edges = [np.zeros(len(x.h) + 1, np.int64) for x in group]
+        full = [np.zeros(len(x.bounds) - 1, np.int64) for x in group]
+        items: list[dict[int, set[str]]] = [{} for _ in group]
         for path in paths:
             matcher = _matcher(path)
-            e, text, item = matcher.match(h, bounds)
-            edge += e
-            for t, i in np.unique(np.stack([text, item]), axis=1).T if len(text) else ():
-                items.setdefault(int(t), set()).add(matcher.items[i])
-        out["n_words"].append(np.diff(bounds))
-        out["n_hit"].append(scan.per_text(np.cumsum(edge[:-1]) > 0, bounds))
-        out["items"] += [sorted(items[k]) if k in items else [] for k in range(hi - lo)]
+            for k, x in enumerate(group):
+                e, f, text, item = matcher.match(x)
+                edges[k] += e
+                full[k] += f
+                for t, i in zip(text.tolist(), item.tolist()):
+                    items[k].setdefault(t, set()).add(matcher.items[i])
+        for x, e, f, found in zip(group, edges, full, items):
+            out["n_words"].append(np.diff(x.bounds))
+            out["n_hit"].append(scan.per_text(np.cumsum(e[:-1]) > 0, x.bounds))
+            out["n_full"].append(f)
+            out["items"] += [sorted(found[k]) if k in found else [] for k in range(len(f))]
     return out
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = 8 << 20) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK) -> DataFrame:
     """One row per document: words, words inside any occurrence of a window, items found, and the verdict.
 
-    ``contaminated``: some word is hit and at least 5 % of the words are. Null text: no words, not contaminated.
-    Items with the same id count once. A narrow map over the documents: no shuffle.
+    ``contaminated``: some word is hit and at least 5 % of the words are. Null, empty or wordless text: no words, not
+    contaminated. Items with the same id count once; items without words match nothing; an empty benchmark hits nothing.
+    Repeated rows give repeated results; extra columns are dropped. A narrow map over the documents: no shuffle.
     """
     paths = benchmark_blocks(benchmark, block_bytes)
 
@@ -226,14 +294,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = 8 <<
 _NONE = hashlib.sha256(b"").hexdigest()
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, block_bytes: int = 8 << 20) -> DataFrame:
-    """The rows of ``docs``, all columns kept, that are not contaminated."""
+def clean_documents(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK) -> DataFrame:
+    """The rows of ``docs``, all columns kept, that hold no passage of the benchmark.
+
+    A row goes if a full window of 13 words occurs in it, however long its text is, or if 5 % or more of its words are hit:
+    items of fewer words may be common phrases, so one of these alone does not condemn a long text. Null, empty and
+    wordless texts stay. Rows are judged one by one, so repeated rows and ties of ids all stay or all go.
+    """
     paths = benchmark_blocks(benchmark, block_bytes)
+    where = docs.columns.index("text")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        v = _hits(batch.column(batch.schema.get_field_index("text")), paths)
-        n, hit = np.concatenate(v["n_words"]), np.concatenate(v["n_hit"])
-        return batch.filter(pa.array(~((hit > 0) & (20 * hit >= n))))
+        v = _hits(batch.column(where), paths)
+        n, hit, full = (np.concatenate(v[k]) for k in ("n_words", "n_hit", "n_full"))
+        return batch.filter(pa.array((full == 0) & ~((hit > 0) & (20 * hit >= n))))
 
     return scan.map_arrow(docs, run, docs.schema)
 
