@@ -14,27 +14,41 @@ from folioscope.llm import decontam, langid, mixing, neardup, scan, tokens
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language can't be told: null texts and texts without a letter."""
+    """Drops documents whose language can't be told: null and empty texts, texts without a letter, and ties of the two best
+    languages. Judged row by row; with no labelled text at all, every document goes."""
     return langid.accepted(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies stays, that of the least doc_id.
+
+    Texts without words are no copies and stay; rows without doc_id take part under an id made from their text; of equal
+    rows of one doc_id one stays.
+    """
     return neardup.deduplicated(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents of which a twentieth or more stands in the benchmark."""
+    """Drops documents that hold a passage of the benchmark: a full window of 13 words, or hits on 5 % of their words.
+
+    Null, empty and wordless texts stay; each row is judged by itself; an empty benchmark drops nothing.
+    """
     return decontam.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats and samples documents so that the sources near their target weights."""
+    """Repeats and samples documents so that the sources near their target weights.
+
+    A null source is a source of its own; texts without words are not taken; repeated rows are taken or left together.
+    """
     return mixing.mixed_documents(docs)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Writes token files and returns one row per document, read back from them."""
+    """Writes token files and returns one row per document, read back from them.
+
+    Null text: the end id alone. A null doc_id comes first and stays null; copies of a document follow one another.
+    """
     return tokens.read_token_files(tokens.write_token_files(docs, tokens.default_tokenizer()))
 
 
