@@ -32,58 +32,74 @@ def longest_repeats(keys: np.ndarray) -> np.ndarray:
     ``keys`` names the symbols; symbols of different texts must differ. The sequence of one text must be contiguous.
     """
     n = len(keys)
-    out = np.zeros(n, np.int64)
+    place = np.int32 if n < 2**31 - 2 else np.int64
+    out = np.zeros(n, place)
     if n < 2:
         return out
-    order = np.argsort(keys)
+    order = np.argsort(keys).astype(place)
     k = keys[order]
     first = np.ones(n, bool)
-    first[1:] = k[1:] != k[:-1]
-    rank = np.empty(n + 1, np.int32)
-    begin = np.maximum.accumulate(np.where(first, np.arange(n), 0))
-    rank[order] = begin
+    np.not_equal(k[1:], k[:-1], out=first[1:])
+    del k
+    rank = np.empty(n + 1, place)
+    rank[order] = _last(first)
     rank[n] = -1
-    size = np.diff(np.append(np.flatnonzero(first), n))
-    live = order[np.repeat(size > 1, size)]  # suffixes that are tied, in order of rank
-    levels, h = [rank.copy()], 1
+    live = order[_in_groups(first)]  # suffixes that are tied, in order of rank
+    del order, first
     tied = live
+    # ranks by the first h symbols, for h = 1, 4, 16, ...: a step of the search below is tried up to three times
+    levels, h, nth = [(1, rank.copy())], 1, 0
     while len(live):
-        nxt = live + h
-        second = rank[np.minimum(nxt, n)].astype(np.int64) + 1
-        key = rank[live].astype(np.int64) * (n + 2) + second
-        by = np.argsort(key, kind="stable")
-        live, key = live[by], key[by]
         old = rank[live]
-        m = len(live)
-        at = np.arange(m)
-        new = np.ones(m, bool)
-        new[1:] = key[1:] != key[:-1]
-        group = np.ones(m, bool)
-        group[1:] = old[1:] != old[:-1]
+        key = old.astype(np.int64) * (n + 2)
+        key += rank[np.minimum(live.astype(np.int64) + h, n)]
+        by = np.argsort(key, kind="stable")
+        live, key, old = live[by], key[by], old[by]
+        del by
+        new, group = np.ones(len(live), bool), np.ones(len(live), bool)
+        np.not_equal(key[1:], key[:-1], out=new[1:])
+        np.not_equal(old[1:], old[:-1], out=group[1:])
+        del key
         # a refined group's rank: the old group's first rank plus the place within that group
-        fresh = old + (np.maximum.accumulate(np.where(new, at, 0)) - np.maximum.accumulate(np.where(group, at, 0)))
-        rank[live] = fresh
-        size = np.diff(np.append(np.flatnonzero(new), m))
-        live = live[np.repeat(size > 1, size)]
-        h *= 2
-        levels.append(rank.copy())
+        old += _last(new)
+        old -= _last(group)
+        rank[live] = old
+        del old, group
+        live = live[_in_groups(new)]
+        h, nth = h * 2, nth + 1
+        if nth % 2 == 0 and len(live):
+            levels.append((h, rank.copy()))
     tied = tied[np.argsort(rank[tied])]
-    a, b = tied[:-1], tied[1:]
-    same = levels[0][a] == levels[0][b]
-    i, j = a[same], b[same]
-    lcp = np.zeros(len(i), np.int64)
-    pi, pj = i.copy(), j.copy()
-    for level in range(len(levels) - 1, -1, -1):
-        eq = levels[level][pi] == levels[level][pj]
-        step = np.where(eq, 1 << level, 0)
-        lcp += step
-        pi = np.minimum(pi + step, n)
-        pj = np.minimum(pj + step, n)
+    first = levels[0][1]
+    same = first[tied[:-1]] == first[tied[1:]]
+    i, j = tied[:-1][same], tied[1:][same]
+    del tied, same
+    lcp = np.zeros(len(i), place)
+    for h, rank in reversed(levels):
+        for _ in range(3):
+            step = (rank[i + lcp] == rank[j + lcp]).astype(place)
+            step *= h
+            lcp += step
+            if not step.any():
+                break
     np.maximum.at(out, i, lcp)
     np.maximum.at(out, j, lcp)
     return out
 
 
+def _last(marks: np.ndarray) -> np.ndarray:
+    """For each place the last mark up to it; the first place is marked."""
+    at = np.flatnonzero(marks).astype(np.int32 if len(marks) < 2**31 else np.int64)
+    return np.repeat(at, np.diff(np.append(at, len(marks))))
+
+
+def _in_groups(first: np.ndarray) -> np.ndarray:
+    """Which places lie in groups of more than one; ``first`` marks where groups begin."""
+    out = ~first
+    out[:-1] |= ~first[1:]
+    return out
+
+
 def coverage(repeat: np.ndarray, least: int) -> np.ndarray:
     """Whether each position lies in a repeated span of at least ``least`` symbols."""
     p = np.flatnonzero(repeat >= least)

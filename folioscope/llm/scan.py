@@ -24,7 +24,6 @@ try:
     _TRIM = ctypes.CDLL("libc.so.6").malloc_trim
 except (OSError, AttributeError):  # another C library
     _TRIM = None
-_POWERS: dict[str, np.ndarray] = {}
 
 #: `[^\x20\x09-\x0D]`: everything but ASCII white space.
 NONSPACE = np.ones(256, bool)
@@ -40,21 +39,26 @@ FOLD[0x41:0x5B] += 32
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit values."""
     h = h ^ (h >> _U(33))
-    h = h * _U(0xFF51AFD7ED558CCD)
-    h = h ^ (h >> _U(33))
-    h = h * _U(0xC4CEB9FE1A85EC53)
-    return h ^ (h >> _U(33))
+    h *= _U(0xFF51AFD7ED558CCD)
+    h ^= h >> _U(33)
+    h *= _U(0xC4CEB9FE1A85EC53)
+    h ^= h >> _U(33)
+    return h
+
+
+def _table_of_powers(m: int) -> tuple[np.ndarray, np.ndarray]:
+    low = np.full(_STEP, m, np.uint64)
+    low[0] = 1
+    np.cumprod(low, out=low)
+    high = np.full(_STEP, pow(m, _STEP, 1 << 64), np.uint64)
+    high[0] = 1
+    np.cumprod(high, out=high)
+    return low, high
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    have = _POWERS.get("up")
-    if have is None or len(have) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        for key, m in (("up", _MULT), ("down", _INV)):
-            p = np.full(size, m, np.uint64)
-            p[0] = 1
-            _POWERS[key] = np.cumprod(p, dtype=np.uint64)
-    return _POWERS["up"], _POWERS["down"]
+#: Powers of the multiplier and of its inverse, as two factors each: exponents up to 2^32 from two small tables.
+_STEP = 1 << 16
+_UP, _DOWN = _table_of_powers(int(_MULT)), _table_of_powers(int(_INV))
 
 
 def texts(column: pa.Array, lo: int = 0, hi: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -89,14 +93,27 @@ def slices(column: pa.Array, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
 def prefix_sums(data: np.ndarray, fold: np.ndarray | None = None) -> np.ndarray:
     table = _TABLE if fold is None else _TABLE[fold]
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(table[data] * _powers(len(data))[0][: len(data)], out=out[1:])
+    for lo in range(0, len(data), _STEP):
+        part = data[lo : lo + _STEP]
+        terms = table[part]
+        terms *= _UP[0][: len(part)]
+        if lo:
+            terms *= _UP[1][lo >> 16]
+        to = out[lo + 1 : lo + 1 + len(part)]
+        np.cumsum(terms, out=to)
+        to += out[lo]
     return out
 
 
 def span_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte spans; equal bytes have equal hashes, wherever they stand."""
-    down = _powers(len(sums))[1]
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _LEN)
+    out = sums[ends]
+    out -= sums[starts]
+    out *= _DOWN[0][starts & (_STEP - 1)]
+    if len(sums) > _STEP:
+        out *= _DOWN[1][starts >> 16]
+    out += (ends - starts).astype(np.uint64) * _LEN
+    return mix(out)
 
 
 def hash_bytes(b: bytes) -> int:
@@ -131,6 +148,9 @@ def owner(bounds: np.ndarray) -> np.ndarray:
 
 def per_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of ``values`` between the bounds."""
+    if values.dtype == bool:  # by the places that hold, which are often few
+        at = np.flatnonzero(values)
+        return np.searchsorted(at, bounds[1:]) - np.searchsorted(at, bounds[:-1])
     c = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=c[1:])
     return c[bounds[1:]] - c[bounds[:-1]]
@@ -143,6 +163,14 @@ def trim() -> None:
         _TRIM(0)
 
 
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Lowers the session's bound on the bytes of an Arrow batch: texts stand in memory on both sides of the pipe."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key)
+    if not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= most:
+        spark.conf.set(key, str(most))
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``mapInArrow`` for a function of one batch."""
 
@@ -152,6 +180,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
                 yield out
             trim()
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
