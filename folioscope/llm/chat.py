@@ -7,10 +7,11 @@ Template (``<s>`` opens every turn)::
     system     <s><<SYS>>\ntext\n<</SYS>>
     other      <s>[ROLE:name] text [/ROLE]      name percent-encoded
 
-Each rendered turn is parsed again by the deterministic parser; if it does not give back exactly the source's role and
-text, the turn is rendered once more with a ``*`` after its opening word and its text escaped (``\`` to ``\b``, ``<`` to
-``\l``, ``[`` to ``\o``), which no closing mark can occur in. A closing mark found in one turn's text alone is found there
-in the whole conversation too, so turns may be checked one by one and need not be gathered.
+Each rendered turn is parsed again by the deterministic parser, whose tokens are the template's control strings, all of them
+in every turn: the first one in a text must be the turn's own closing mark. If the parse does not give back exactly the
+source's role and text, the turn is rendered once more with a ``*`` after its opening word and its text escaped (``\`` to
+``\b``, ``<`` to ``\l``, ``[`` to ``\o``), in which no control string can occur. So no control string of any role ever stands
+raw in a text. Turns are checked one by one and need not be gathered.
 
 The formatted conversation is the concatenation of its rows by (turn, role, text); the loss mask covers the texts of
 assistant turns, as character offsets in each row.
@@ -32,6 +33,9 @@ FORMATTED = "conv_id long, turn long, role string, formatted string, loss_start
 SCHEMA = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 _MARKS = {"user": ("<s>[INST", "] ", " [/INST]"), "assistant": ("<s>[ANSWER", "] ", "</s>"), "system": ("<s><<SYS", ">>\n", "\n<</SYS>>")}
 _HEAD = re.compile(r"<s>(?:\[(INST|ANSWER)(\*?)\] |<<(SYS)(\*?)>>\n|\[ROLE:([^\]\[<*]*)(\*?)\] )")
+#: Every control string of the template, escaped turns' ones included.
+CONTROL = r"</?s>|\[/?INST\*?\]|\[ANSWER\*?\]|<</?SYS\*?>>|\[ROLE:|\[/ROLE\]"
+_CONTROL = re.compile(CONTROL)
 _ROLE = {"INST": "user", "ANSWER": "assistant", "SYS": "system"}
 
 
@@ -55,9 +59,10 @@ def parse(text: str, at: int = 0) -> Iterator[tuple[str, str, int, int]]:
             raise ValueError(f"no turn at {at}")
         role = _ROLE[m[1] or m[3]] if m[1] or m[3] else unquote(m[5])
         close = _marks(role)[2]
-        end = text.find(close, m.end())
-        if end < 0:
-            raise ValueError(f"turn at {at} does not end")
+        token = _CONTROL.search(text, m.end())
+        end = token.end() - len(close) if token else -1
+        if end < m.end() or text[end : token.end()] != close:
+            raise ValueError(f"turn at {at} does not end, or holds a control string")
         raw = text[m.end() : end]
         yield role, unescape(raw) if m[2] or m[4] or m[6] else raw, m.end(), end
         at = end + len(close)
@@ -78,7 +83,10 @@ def render(role: str, text: str) -> tuple[str, int, int]:
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
-    """One row per turn: the formatted piece and the loss span in it (equal bounds: none). Null role and text: empty."""
+    """One row per turn: the formatted piece and the loss span in it (equal bounds: none).
+
+    Null role and text: empty; a null conv_id or turn stays null. Repeated turns are formatted alike; extra columns are dropped.
+    """
     rows = rows.selectExpr("cast(conv_id as bigint) conv_id", "cast(turn as bigint) turn", "coalesce(cast(role as string), '') role", "coalesce(cast(text as string), '') text")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -138,21 +146,25 @@ def read_back(formatted: DataFrame) -> DataFrame:
         if now is not None:
             yield made([now])
 
+    scan.small_batches(rows.sparkSession)
     return rows.mapInArrow(run, SCHEMA)
 
 
-SQL = r"""
+SQL = (
+    r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), t AS (
-  SELECT *, CASE role WHEN 'user' THEN ' [/INST]' WHEN 'assistant' THEN '</s>' WHEN 'system' THEN chr(10) || '<</SYS>>' ELSE ' [/ROLE]' END AS close,
-    CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 16 WHEN 'system' THEN 20 ELSE 19 + len(url_encode(role)) END AS marks FROM c
+  SELECT *, CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 16 WHEN 'system' THEN 20 ELSE 19 + len(url_encode(role)) END AS marks FROM c
 )
 SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   coalesce(sum(CASE WHEN role = 'assistant' THEN len(text) END), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
-  sum(marks + len(text) + CASE WHEN strpos(text || close, close) <= len(text) THEN 1 + len(text) - len(translate(text, '\<[', '')) ELSE 0 END)::BIGINT AS formatted_chars
+  sum(marks + len(text) + CASE WHEN regexp_matches(text, '"""
+    + CONTROL
+    + r"""') THEN 1 + len(text) - len(translate(text, '\<[', '')) ELSE 0 END)::BIGINT AS formatted_chars
 FROM t GROUP BY conv_id
 """
+)
