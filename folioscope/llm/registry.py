@@ -52,7 +52,7 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.read_archives(warc.write_archives(_table(spark, sf_dir, "pages"))).drop("url")
+    return warc.read_archives(warc.write_archives(_table(spark, sf_dir, "pages")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

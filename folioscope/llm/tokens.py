@@ -289,6 +289,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, folder:
         if writer is not None:
             yield pa.RecordBatch.from_pydict(dict(zip(names, ([x] for x in (part, name, *writer.close())))))
 
+    scan.small_batches(spark)
     manifest = scan.checkpointed(rows.mapInArrow(write, "part long, file string, n_docs long, n_ids long"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return manifest.withColumn("file", F.concat(F.lit(folder + "/"), "file")).withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))

@@ -34,7 +34,8 @@ LEAST = 100  # bytes of a payload from which it is deduplicated
 SCHEMA = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 _LENGTH = re.compile(rb"\r\nContent-Length: (\d+)\r\n")
-_CONTROL = re.compile(r"[\x00-\x20\x7f%]")
+_CONTROL = re.compile(r"[\x00-\x20\x7f%]")  # written as %XX in a header, and read back from that
+_ESCAPED = re.compile(r"%([0-9A-F]{2})")
 
 
 def _record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers: int | None) -> bytes:
@@ -73,7 +74,12 @@ def revisits(pages: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, least: int = LEAST) -> DataFrame:
-    """Writes a record per row and returns the manifest: file, size, records. Null html is an empty payload."""
+    """Writes a record per row and returns the manifest: file, size, records.
+
+    Null html is an empty payload; a null page_id is written as an empty field and refers to nothing smaller. Repeated rows
+    are a record each; rows that repeat the least page_id of their payload are all responses. Extra columns are dropped. An
+    empty table writes no file.
+    """
     folder = folder or scan.shared_dir(pages.sparkSession, "warc")
     again = scan.checkpointed(revisits(pages, least))
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
@@ -101,6 +107,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = LEA
             stream.close()
             yield pa.RecordBatch.from_pydict({"file": [f"{folder}/{name}"], "size": [size], "records": [number]})
 
+    scan.small_batches(rows.sparkSession)
     return scan.checkpointed(rows.mapInArrow(write, "file string, size long, records long"))
 
 
@@ -175,7 +182,8 @@ def _walk(file: str, at: int, hi: int) -> Iterator[tuple]:
             raise ValueError(f"{file}: payload at {at} does not match its digest")
         page = fields["WARC-Page-ID"]
         refers = fields.get("WARC-Refers-To-Page-ID")
-        yield int(page) if page else None, fields.get("WARC-Target-URI"), number, digest, kind, int(refers) if refers else None
+        url = fields.get("WARC-Target-URI")
+        yield int(page) if page else None, None if url is None else _ESCAPED.sub(lambda m: chr(int(m[1], 16)), url), number, digest, kind, int(refers) if refers else None
         at = after
 
 
@@ -184,7 +192,12 @@ def _ranges(manifest: DataFrame, width: int) -> DataFrame:
 
 
 def read_archives(manifest: DataFrame, width: int = RANGE) -> DataFrame:
-    """One row per record of the files of ``manifest`` (file, size)."""
+    """One row per record of the files of ``manifest`` (file, size), the payloads checked against their digests.
+
+    Page ids, urls and payload sizes come back as they were written, nulls included. A file whose chain of records from
+    offset 0 breaks before its end is an error.
+    """
+
     def find(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = [(file, lo, at, to) for file, lo in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for at, to in _exits(file, lo, lo + width)]
         return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int64()))], names=["file", "lo", "at", "to"])
@@ -198,24 +211,23 @@ def read_archives(manifest: DataFrame, width: int = RANGE) -> DataFrame:
     n, most = ranges.count(), (manifest.agg(F.max("size")).first()[0] or 0) // width + 1
     # one range a task: the ranges are numbered evenly over the tasks
     spread = ranges.repartitionByRange(max(1, min(n, 20_000)), "file", "lo")
-    starts = manifest.select("file", F.lit(0).cast("long").alias("at"))
-    if most > 1:
-        jump = scan.checkpointed(scan.map_arrow(spread, find, "file string, lo long, at long, to long").select("file", "at", "to"))
-        reach = starts
-        for _ in range(int(most).bit_length()):
-            reach = scan.checkpointed(reach.union(reach.join(jump, ["file", "at"]).select("file", F.col("to").alias("at"))).distinct())
+    jump = scan.checkpointed(scan.map_arrow(spread, find, "file string, lo long, at long, to long").select("file", "at", "to"))
+    reach = manifest.select("file", F.lit(0).cast("long").alias("at"))
+    for k in range(int(most).bit_length()):
+        if k:
             after = jump.select("file", F.col("at").alias("to"), F.col("to").alias("then"))
             jump = scan.checkpointed(jump.join(after, ["file", "to"]).select("file", "at", F.col("then").alias("to")))
-        starts = reach.join(manifest.select("file", "size"), "file").where("at < size").drop("size")
-    entries = starts.withColumn("lo", (F.floor(F.col("at") / width) * width).cast("long"))
+        reach = scan.checkpointed(reach.union(reach.join(jump, ["file", "at"]).select("file", F.col("to").alias("at"))).distinct())
+    entries = reach.join(manifest.select("file", "size"), "file").where("at < size").drop("size")
+    entries = entries.withColumn("lo", (F.floor(F.col("at") / width) * width).cast("long"))
     return scan.map_arrow(entries.repartitionByRange(max(1, min(n, 20_000)), "file", "lo").select("file", "at", "lo"), read, SCHEMA)
 
 
 SQL = """
-WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+WITH p AS (SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
 SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
+  CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to, url
 FROM f
 """
