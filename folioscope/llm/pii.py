@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 
 from . import scan
 
-SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
+SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_spans long"
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -348,12 +348,14 @@ def _joined(spans: list[Span]) -> str:
 def personal_data(docs: DataFrame) -> DataFrame:
     """One row per document: base counts and digest, and all spans, base ones and added ones.
 
-    n_email to n_phone count the base spans, n_added the others. Null text is empty. A narrow map: no shuffle.
+    n_email to n_phone count the base spans, n_added the others, n_spans all. Null text is empty, and empty text has none.
+    Repeated rows give repeated results; of matches that begin alike the longest counts, as its regex says. A null doc_id
+    stays null; extra columns are dropped. A narrow map: no shuffle.
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts: list[list[int]] = [[], [], [], []]
-        digests, spans, extra = [], [], []
+        digests, spans, extra, total = [], [], [], []
         for text in batch.column(1).to_pylist():
             text = text or ""
             base = detect(text)
@@ -363,7 +365,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
             digests.append(hashlib.sha256(_joined(base).encode()).hexdigest())
             spans.append(_joined(sorted([*base, *more])))
             extra.append(len(more))
-        arrays = [batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()), pa.array(spans, pa.string()), pa.array(extra, pa.int64())]
+            total.append(len(base) + len(more))
+        arrays = [batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()), pa.array(spans, pa.string()), pa.array(extra, pa.int64()), pa.array(total, pa.int64())]
         return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in SCHEMA.split(", ")])
 
     return scan.map_arrow(docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text"), run, SCHEMA)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -84,6 +85,65 @@ def test_any_white_space_and_any_number_of_labels(text):
     assert found(f"say, {text}, now") == [("email", text)]
 
 
+def test_disguised_identifiers_at_known_places():
+    """Identifiers are put into filler text under random disguises; the spans must be just the places where they were put."""
+    rng = random.Random(21)
+    filler = "the weather in the valley stays fair and people walk along rivers until evening".split()
+    names = "zero one two three four five six seven eight nine".split()
+    look = {"a": "а", "o": "о", "e": "е", "c": "с", "p": "р", "1": "１", "2": "２", "@": "＠", ".": "．"}
+
+    def luhn_card():
+        d = [rng.randrange(10) for _ in range(15)]
+        total = sum(x if k % 2 else (x * 2 - 9 * (x > 4)) for k, x in enumerate(d))
+        return "".join(map(str, [*d, -total % 10]))
+
+    def disguise(kind):
+        if kind == "email":
+            local, host = rng.choice(["jane", "joe.poe", "a-c_p", "peacock"]), rng.choice(["example", "cop.mail", "ocean"]) + ".com"
+            how = rng.randrange(5)
+            if how == 0:
+                return f"{local}{rng.choice(['[at]', ' (at) ', ' {AT} ', '&#64;', '<at>'])}{host.replace('.', rng.choice(['[dot]', ' (dot) ', '&#46;']))}"
+            if how == 1:
+                return f"{local} at {host.replace('.', ' dot ')}"
+            if how == 2:
+                return f"{local}{rng.choice([' @', '@ ', ' @ '])}{host}"
+            plain = f"{local}@{host}"
+            if how == 3:
+                return "".join(look.get(c, c) for c in plain)
+            k = rng.randrange(1, len(local))
+            return plain[:k] + "\u200b" + plain[k:]
+        if kind == "ip":
+            ip = ".".join(str(rng.randrange(100, 256)) for _ in range(4))
+            return ip.translate(str.maketrans("0123456789", "０１２３４５６７８９")) if rng.random() < 0.5 else ip.replace(".", rng.choice(["[.]", "(dot)", " [dot] "]))
+        if kind == "card":
+            return " ".join(names[int(c)] for c in luhn_card())
+        digits = [rng.randrange(10) for _ in range(11)]
+        return "plus " + rng.choice([" ", "-", ", "]).join(names[d] for d in digits)
+
+    for _ in range(400):
+        text, want = "", []
+        for _ in range(rng.randint(1, 4)):
+            text += " ".join(rng.choice(filler) for _ in range(rng.randint(3, 9))) + ", "
+            kind = rng.choice(pii.KINDS)
+            x = disguise(kind)
+            want.append((kind, x))
+            text += x + ", "
+        text += "and so on"
+        base = pii.detect(text)
+        spans = sorted([*base, *pii.added(text, base)])
+        covered = [set() for _ in pii.KINDS]
+        for s, k, e in spans:
+            covered[k] |= set(range(s, e))
+        at = 0
+        for kind, x in want:
+            at = text.index(x, at)
+            k = pii.KINDS.index(kind)
+            assert set(range(at, at + len(x))) - {at + j for j, c in enumerate(x) if c.isspace()} <= covered[k], (text, kind, x, spans)
+            covered[k] -= set(range(at, at + len(x)))
+            at += len(x)
+        assert not any(covered), (text, want, spans)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(list("a1 .@+-()") + ["25", " at ", " dot ", "one ", "two ", "о", "\u200b", "[at]", "（"]), max_size=40).map("".join))
 def test_added_spans_lie_in_the_text_apart_from_base_ones(text):
