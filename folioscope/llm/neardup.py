@@ -83,10 +83,10 @@ def band_keys(sketches: np.ndarray) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
-    names = ["doc_id", "n", "d1", "d2", "bands"]
+    names = ["doc_id", "h", "n", "d1", "d2", "bands"]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        column = batch.column(1)
+        column = batch.column(2)
         parts = []
         for lo, hi in scan.slices(column):
             s, text, bounds = shingles(*scan.texts(column, lo, hi))
@@ -97,29 +97,25 @@ def _signatures(docs: DataFrame) -> DataFrame:
             parts.append((np.diff(bounds), *digest, band_keys(sketch(s, text, hi - lo))))
         n, d1, d2, keys = (np.concatenate(x) for x in zip(*parts))
         bands = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel()))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(d1), pa.array(d2), bands], names=names)
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(n), pa.array(d1), pa.array(d2), bands], names=names)
 
-    return scan.map_arrow(docs, run, "doc_id long, n long, d1 long, d2 long, bands array<long>")
+    return scan.map_arrow(docs.select("doc_id", F.xxhash64("text").alias("h"), "text"), run, "doc_id long, h long, n long, d1 long, d2 long, bands array<long>")
 
 
 def similar(a: pa.Array, b: pa.Array, percent: int) -> np.ndarray:
-    """Whether each row's two texts reach the similarity, on full sets."""
+    """Whether each row's two texts reach the similarity, on full sets. Rows are taken in slices of about 1 MB of text."""
     out = []
     n = len(a)
-    both = pa.concat_arrays([a, b])
-    order = np.arange(2 * n).reshape(2, n).T.ravel()  # a0 b0 a1 b1 ...
-    mixed = both.take(pa.array(order))
+    ends = scan.texts(a)[1] + scan.texts(b)[1]
     lo = 0
-    offs = scan.texts(mixed)[1]
     while lo < n:
-        hi = int(np.searchsorted(offs, offs[2 * lo] + (1 << 20), "right") - 1) // 2
-        hi = min(n, max(hi, lo + 1))
-        s, text, bounds = shingles(*scan.texts(mixed, 2 * lo, 2 * hi))
-        pair = text // 2
-        key = np.lexsort((s, pair))
-        s, pair = s[key], pair[key]
-        common = np.bincount(pair[1:][(s[1:] == s[:-1]) & (pair[1:] == pair[:-1])], minlength=hi - lo)
-        size = np.diff(bounds).reshape(-1, 2).sum(axis=1)
+        hi = min(n, max(int(np.searchsorted(ends, ends[lo] + (1 << 20), "right")) - 1, lo + 1))
+        sets = [shingles(*scan.texts(x, lo, hi)) for x in (a, b)]
+        s, row = np.concatenate([x[0] for x in sets]), np.concatenate([x[1] for x in sets])
+        key = np.lexsort((s, row))
+        s, row = s[key], row[key]
+        common = np.bincount(row[1:][(s[1:] == s[:-1]) & (row[1:] == row[:-1])], minlength=hi - lo)
+        size = sum(np.diff(x[2]) for x in sets)
         out.append((100 * common >= percent * (size - common)) & (common > 0))
         lo = hi
     return np.concatenate(out) if out else np.zeros(0, bool)
@@ -188,18 +184,32 @@ def _residual(units: DataFrame, percent: int) -> DataFrame:
             scan.trim()
         yield from flush()
 
+    scan.small_batches(units.sparkSession)
     return units.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
-    Null or wordless texts have an empty set and stay alone. Rows with one doc_id are one document. A null doc_id
-    is never linked: its component is null and it is kept. Extra columns are dropped.
+    Null or wordless texts have an empty set and stay alone. A null doc_id is never linked: its component is null and it is
+    kept. Rows of one doc_id are one document: different texts of it take part each under an id made from the text
+    (above 2^62), and all that any of them is linked with is linked with the document. Extra columns are dropped.
     """
     rows = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
     sig = scan.checkpointed(_signatures(rows))
     total = sig.count()
+    many = sig.where("doc_id is not null and n > 0").groupBy("doc_id").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
+    many = scan.checkpointed(many.where("lo <> hi").select("doc_id", F.lit(True).alias("many")))
+    n_many = many.count()
+    own = sig.select("doc_id", F.col("doc_id").alias("own"), "h", "n", "d1", "d2", "bands")
+    aliases = None
+    if n_many:  # rare; the texts' rows are given ids of their own
+        made = lambda many: F.when(many, F.shiftrightunsigned(F.xxhash64("h", "own"), 2).bitwiseOR(F.lit(1 << 62))).otherwise(F.col("doc_id"))
+        side = F.broadcast(many) if n_many <= skew.MOST_IDS else many
+        own = scan.checkpointed(own.join(side, "doc_id", "left").withColumn("doc_id", made(F.col("many") & (F.col("n") > 0))).drop("many"))
+        aliases = own.where("doc_id <> own").select(F.col("doc_id").alias("a"), F.col("own").alias("b")).distinct()
+        rows = rows.withColumn("own", F.col("doc_id")).withColumn("h", F.xxhash64("text")).join(side, "doc_id", "left").select(made(F.col("many")).alias("doc_id"), "text")
+    sig = own
     full = sig.where("n > 0 and doc_id is not null")
     classes = full.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     member = skew.lookup(full.select("doc_id", "n", "d1", "d2"), classes, ["n", "d1", "d2"], "copies", total)
@@ -259,7 +269,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     unit = unit.select(*cols, "query", "text").repartition("b", "key", "i", "j").sortWithinPartitions("b", "key", "i", "j")
     late = _residual(unit, percent)
     tops = first.selectExpr("node a", "comp b")
-    final = skew.components(scan.checkpointed(tops.unionByName(late).unionByName(alike)))
+    every_link = tops.unionByName(late).unionByName(alike)
+    final = skew.components(scan.checkpointed(every_link if aliases is None else every_link.unionByName(aliases)))
     return _result(sig, final)
 
 
@@ -270,7 +281,7 @@ def class_rows(full: DataFrame, member: DataFrame) -> DataFrame:
 
 
 def _result(sig: DataFrame, final: DataFrame) -> DataFrame:
-    out = sig.select("doc_id", F.col("n").alias("n_shingles")).join(final, F.col("doc_id") == F.col("node"), "left")
+    out = sig.select(F.col("own").alias("doc_id"), F.col("n").alias("n_shingles")).join(final, F.col("doc_id") == F.col("node"), "left")
     comp = F.coalesce("comp", "doc_id")
     return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.coalesce(comp == F.col("doc_id"), F.lit(True)).alias("kept"))
 

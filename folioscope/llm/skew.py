@@ -32,19 +32,21 @@ def by_ids(rows: DataFrame, key: str, ids: DataFrame, n_ids: int, how: str) -> D
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, comp): the least node of each connected component, for all nodes of ``edges`` (a, b).
 
-    Alternating large and small stars; each round is checkpointed, and stops when it changes nothing.
+    Alternating large and small stars; each round is checkpointed, and stops when it changes nothing. Where a node has over
+    1/HOT of all edges, its least neighbour is broadcast, so that its edges stay where they are; no node's edges are gathered.
     """
     e = scan.checkpointed(edges.where("a <> b").selectExpr("greatest(a, b) a", "least(a, b) b").distinct())
-    mark = None
+    mark, n = None, e.count()
     for _ in range(rounds):
         both = e.union(e.selectExpr("b a", "a b"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).selectExpr("a", "least(a, m) m")
-        large = both.join(least, "a").where("b > a").selectExpr("b a", "m b").distinct()
-        parent = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(parent, "a").where("b <> m").selectExpr("b a", "m b").union(parent.selectExpr("a", "m b")).distinct()
+        least = scan.checkpointed(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("c")))
+        large = lookup(both, least.selectExpr("a", "least(a, m) m", "c"), ["a"], "c", 2 * n).where("b > a")
+        large = scan.checkpointed(large.selectExpr("b a", "m b").distinct())
+        parent = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("c"))
+        small = lookup(large, parent, ["a"], "c", n).where("b <> m").selectExpr("b a", "m b").union(parent.selectExpr("a", "m b")).distinct()
         e = scan.checkpointed(small)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == mark:
             return e.selectExpr("a node", "b comp").union(e.selectExpr("b node", "b comp").distinct())
-        mark = now
+        mark, n = now, now[0]
     raise RuntimeError("components: no fixed point")
