@@ -228,11 +228,18 @@ def identify(docs: DataFrame, model: Model | None = None, sample_bytes: int = 32
     return _predicted(rows, model, SCHEMA, build)
 
 
-def accepted(docs: DataFrame, least: float = 0.0, sample_bytes: int = 32 << 10) -> DataFrame:
-    """The rows of ``docs``, all columns kept, whose language is determined with a score above ``least``."""
+def accepted(docs: DataFrame, least: float = 0.5, languages: tuple[str, ...] | None = None, sample_bytes: int = 32 << 10) -> DataFrame:
+    """The rows of ``docs``, all columns kept, whose language is told: with a score above ``least``, and, where they are given,
+    one of ``languages``.
+
+    A score of 0.5 is a tie: the two best languages explain the text equally well, as they do a word that both have. Null
+    and empty texts and texts without a letter go. Rows are judged one by one; repeated rows all stay or all go. Without any
+    labelled text nothing can be told, and all go.
+    """
     model = fit(docs, sample_bytes)
 
     def build(batch: pa.RecordBatch, names: list[str], score: np.ndarray, rate: np.ndarray) -> pa.RecordBatch:
-        return batch.filter(pa.array((np.array(names, object) != UNDETERMINED) & (score > least)))
+        told = np.array([n != UNDETERMINED and (languages is None or n in languages) for n in names], bool)
+        return batch.filter(pa.array(told & (score > least)))
 
     return _predicted(docs, model, docs.schema, build)
