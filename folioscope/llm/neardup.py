@@ -218,20 +218,21 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     # one row per class and band; a class is named by its least document
     reps = class_rows(full, member)
-    band = reps.select(F.col("doc_id").alias("rep"), "n", "bands", F.posexplode("bands").alias("b", "key"))
+    band = reps.select(F.col("doc_id").alias("rep"), "n", F.posexplode("bands").alias("b", "key"))
     bucket = scan.checkpointed(
         band.groupBy("b", "key")
         .agg(F.min("rep").alias("center"), F.min_by("n", "rep").alias("center_n"), F.count("*").alias("c"), F.sum("n").alias("weight"))
         .where("c > 1 and center is not null")
     )
     in_bucket = scan.checkpointed(
-        skew.lookup(band.select("b", "key", "rep", "n", "bands"), bucket, ["b", "key"], "c", total).where("center is not null")
+        skew.lookup(band.select("b", "key", "rep", "n"), bucket, ["b", "key"], "c", total).where("center is not null")
     )
     star = in_bucket.where(f"rep <> center and 100 * least(n, center_n) >= {percent} * greatest(n, center_n)")
     star = scan.checkpointed(star.select("rep", "center").distinct())
     ids = scan.checkpointed(in_bucket.select(F.col("rep").alias("doc_id")).distinct())
     n_ids = ids.count()
-    kept_text = scan.checkpointed(skew.by_ids(rows, "doc_id", ids, n_ids, "left_semi").dropDuplicates(["doc_id"]))
+    kept_text = skew.by_ids(rows, "doc_id", ids, n_ids, "left_semi").dropDuplicates(["doc_id"])
+    kept_text = scan.checkpointed(kept_text.join(reps.select("doc_id", "bands"), "doc_id"))
 
     # confirm the stars; a center with many members is salted
     pairs = star.count()
@@ -251,7 +252,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     # buckets of three or more that hold several components
     placed = in_bucket.where("c > 2").join(first, F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "rep")).drop("node")
-    placed = scan.checkpointed(placed.select("b", "key", "rep", "n", "bands", "comp", "center", "c", "weight"))
+    placed = scan.checkpointed(placed.select("b", "key", "rep", "n", "comp", "center", "c", "weight"))
     home = placed.groupBy("b", "key").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.when(F.col("rep") == F.col("center"), F.col("comp"))).alias("home")
     ).where("lo <> hi").select("b", "key", "home")
@@ -262,11 +263,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     sized = scan.checkpointed(mixed.join(count, ["b", "key"]).withColumn("mb", blocks("c", "weight")).withColumn("qb", blocks("qc", "qw")).withColumn("query", (F.col("comp") != F.col("home")).cast("int")))
     own = lambda k: F.pmod(F.xxhash64("rep"), F.col(k)).cast("int")
     every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
-    cols = ["b", "key", "i", "j", "rep", "comp", "n", "bands"]
+    cols = ["b", "key", "i", "j", "rep", "comp", "n"]
     as_member = sized.withColumn("j", own("mb")).withColumn("i", every("qb")).select(*cols, F.lit(0).alias("query"))
     as_query = sized.where("query = 1").withColumn("i", own("qb")).withColumn("j", every("mb")).select(*cols, F.lit(1).alias("query"))
     unit = as_member.unionByName(as_query).join(kept_text.withColumnRenamed("doc_id", "rep"), "rep")
-    unit = unit.select(*cols, "query", "text").repartition("b", "key", "i", "j").sortWithinPartitions("b", "key", "i", "j")
+    unit = unit.select(*cols, "query", "bands", "text").repartition("b", "key", "i", "j").sortWithinPartitions("b", "key", "i", "j")
     late = _residual(unit, percent)
     tops = first.selectExpr("node a", "comp b")
     every_link = tops.unionByName(late).unionByName(alike)
