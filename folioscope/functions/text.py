@@ -43,6 +43,10 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+#: What printable ASCII that is clean already does not contain: the test is far cheaper than the replacements.
+_UNCLEAN = r"[^ -~]|  | [.,;:)]|^ | $"
+
+
 def collapsed(c: Column) -> Column:
     """Runs of white space as one space, trimmed."""
     return F.trim(F.regexp_replace(c, SPACES, " "))
@@ -50,7 +54,7 @@ def collapsed(c: Column) -> Column:
 
 def clean_text(c: Column) -> Column:
     """White space collapsed, none before ``. , ; : )``, trimmed."""
-    return F.trim(F.regexp_replace(F.regexp_replace(c, SPACES, " "), r" ([.,;:)])", "$1"))
+    return F.when(c.rlike(_UNCLEAN), F.trim(F.regexp_replace(F.regexp_replace(c, SPACES, " "), r" ([.,;:)])", "$1"))).otherwise(c)
 
 
 def normalized(c: Column) -> Column:

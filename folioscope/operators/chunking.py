@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions import text as T
+from ..sources.xml import clean as cleaned
 
 
 def estimated_tokens(words: int) -> int:
@@ -48,7 +52,7 @@ def sliding_windows(text: Column, most: int, overlap: int, tail: str = "clean",
     """array<struct<start, n, text>>: windows of ``most`` words, each ``overlap`` behind the last; a text that fits is one.
 
     ``clean`` stops at the window that reaches the end; ``parity`` goes on one word at a time from ``overlap`` words
-    before the end, as the reference does. Native: stays in code generation.
+    before the end. Native, no Python.
     """
 
     def cut(w: Column) -> Column:
@@ -156,21 +160,40 @@ def section_chunk_udf(most: int, overlap: int, tail: str = "clean"):
 
 
 def vote_chunks(votes: DataFrame, most: int, overlap: int) -> DataFrame:
-    """One row per chunk of a vote's text; every piece of a long one gets the prefix again."""
+    """One row per chunk of a vote's text; every piece of a long one gets the prefix again.
+
+    Texts are made natively; only the cutting of texts that do not fit is a Python loop, in batches that pass the others on.
+    """
     v = votes.withColumn("_prefix", T.vote_prefix(F.col("vote_id"), F.col("chamber"), F.col("date"), F.col("category"), F.col("type")))
     v = v.withColumn("_narrative", T.vote_narrative(F.col("question"), F.col("subject"), F.col("result"), F.col("bill_id")))
     v = v.withColumn("_text", T.vote_text(F.col("_prefix"), F.col("_narrative")))
-    fits = (T.token_count(F.col("_text")) <= most) | (F.col("_narrative") == "")
-    room = F.greatest(F.lit(1), F.lit(most - 8) - T.token_count(F.col("_prefix")))
-    @F.pandas_udf("array<string>")
-    def cut(text: pd.Series, size: pd.Series) -> pd.Series:
-        return pd.Series([[p for _, p in sentence_windows(t, int(n), min(overlap, int(n) - 1))] for t, n in zip(text, size)])
-
-    pieces = F.when(fits, F.array("_text")).otherwise(
-        F.transform(cut(F.when(fits, F.lit("")).otherwise(F.col("_narrative")), room), lambda p: T.clean_text(F.concat(F.col("_prefix"), F.lit("\n"), p)))
-    )
-    out = v.select(*votes.columns, F.posexplode(pieces).alias("chunk_index", "text")).withColumn("token_count", T.token_count(F.col("text")))
-    out = out.withColumn("content_hash", T.text_hash(F.col("text")))
+    v = v.withColumn("_n", T.token_count(F.col("_text"))).withColumn("_room", F.greatest(F.lit(1), F.lit(most - 8) - T.token_count(F.col("_prefix"))))
+    schema = StructType([*votes.schema, StructField("chunk_index", IntegerType()), StructField("text", StringType())])
+    width = len(votes.columns)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix, narrative, text, n, room = (batch.column(width + k) for k in range(5))
+            long = set(np.flatnonzero((n.to_numpy() > most) & (pc.binary_length(narrative).to_numpy() > 0)).tolist())
+            rows, index, texts = [], [], []
+            whole = text.to_pylist() if long else []
+            for k in sorted(long):
+                size = room[k].as_py()
+                pieces = sentence_windows(narrative[k].as_py(), size, min(overlap, size - 1))
+                rows += [k] * len(pieces)
+                index += range(len(pieces))
+                texts += [cleaned(f"{prefix[k].as_py()}\n{p}") for _, p in pieces]
+            if long:
+                fit = [k for k in range(len(whole)) if k not in long]
+                rows, index, texts = fit + rows, [0] * len(fit) + index, [whole[k] for k in fit] + texts
+                kept = [c.take(pa.array(rows, pa.int64())) for c in batch.columns[:width]]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(index, pa.int32()), pa.array(texts, pa.string())], names=schema.names)
+            else:
+                yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(np.zeros(len(text), np.int32)), text], names=schema.names)
+
+    out = v.select(*votes.columns, "_prefix", "_narrative", "_text", "_n", "_room").mapInArrow(cut, schema)
+    # the texts are clean already, so only lower case is left of normalising
+    out = out.withColumn("token_count", T.token_count(F.col("text"))).withColumn("content_hash", F.sha2(F.lower("text"), 256))
     return out.withColumn("source_hash", T.source_hash(F.col("vote_id"), F.col("chunk_index"), F.col("content_hash")))
 
 

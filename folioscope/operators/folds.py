@@ -10,20 +10,26 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A new folder in the one that all executors share (spark.checkpoint.dir); where it is unset, a local session's own."""
+    import tempfile
+    import uuid
+
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{(base or 'file://' + tempfile.gettempdir() + '/folioscope').rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def materialized(df: DataFrame) -> DataFrame:
     """``checkpoint()`` into the folder that the session names; one of our own only where none is set."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        named = context.getConf().get("spark.checkpoint.dir")
-        if not named and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        import tempfile
-
-        context.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="folioscope-"))
+        context.setCheckpointDir(shared_dir(df.sparkSession, "checkpoint"))
     return df.checkpoint()
 
 

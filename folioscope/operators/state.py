@@ -34,11 +34,11 @@ def change_summary(changes: DataFrame) -> DataFrame:
 def reconcile_plan(desired: DataFrame, actual: DataFrame, bill: str = "bill_uid", digest: str = "source_hash") -> DataFrame:
     """One row per bill: its action (new, replace, delete, keep) and how many hashes to add, to keep and to drop.
 
-    Full join on (bill, hash), then partial aggregation by bill: equality of hash sets without building them.
+    One aggregation by (bill, hash) of both sides together, then one by bill: equality of hash sets without building them.
     """
-    a = desired.select(bill, digest).distinct().withColumn("_want", F.lit(1))
-    b = actual.select(bill, digest).distinct().withColumn("_have", F.lit(1))
-    j = a.join(b, [bill, digest], "full_outer")
+    a = desired.select(bill, digest, F.lit(1).alias("_want"), F.lit(None).cast("int").alias("_have"))
+    b = actual.select(bill, digest, F.lit(None).cast("int").alias("_want"), F.lit(1).alias("_have"))
+    j = a.union(b).groupBy(bill, digest).agg(F.max("_want").alias("_want"), F.max("_have").alias("_have"))
     out = j.groupBy(bill).agg(
         F.count_if(F.col("_want").isNotNull() & F.col("_have").isNull()).alias("n_add"),
         F.count_if(F.col("_want").isNotNull() & F.col("_have").isNotNull()).alias("n_reuse"),
@@ -120,10 +120,14 @@ def manifest_md5(df: DataFrame, key: str, digest: str) -> DataFrame:
     return folds.ordered_fold(df.select(key, digest), key, [digest], make, f"{key} {kind}, n long, manifest_md5 string", finish=True)
 
 
-def manifest_tree(df: DataFrame, key: str, digest: str, digits: int = 3) -> DataFrame:
-    """A manifest that is parallel within a key: order-free sums of 64-bit hashes, by the digest's first hex digits."""
-    part = F.substring(digest, 1, digits).alias("part")
-    return df.groupBy(key, part).agg(F.count("*").alias("n"), F.sum(F.xxhash64(digest).cast("decimal(38,0)")).alias("hash_sum"))
+def manifest_tree(df: DataFrame, key: str, digest: str, digits: int = 2) -> DataFrame:
+    """(key, part, n, hash_sum): a manifest that is parallel within a key, where ``manifest_md5`` is one stream.
+
+    Parts are the digest's first hex digits; a part's value is the order-free sum of the first 60 bits of its digests, so two
+    manifests differ just in the parts whose digests do.
+    """
+    bits = F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(20,0)")
+    return df.groupBy(key, F.substring(digest, 1, digits).alias("part")).agg(F.count("*").alias("n"), F.sum(bits).cast("decimal(38,0)").alias("hash_sum"))
 
 
 def latest(events: DataFrame, key: str, order: list[str], names: list[str]) -> DataFrame:

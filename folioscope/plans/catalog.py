@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import vectors as V
-from ..operators import chunking, dedup, evaluation, packing, search, state
+from ..operators import chunking, dedup, embedding, evaluation, folds, packing, rows, search, state
+from ..sources import files, xml
 from ..streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -246,6 +247,57 @@ def chunk_renumber(spark, sf_dir):
     return chunking.renumbered(_capped(spark, sf_dir), "doc_id", ["section_enum", "section_text_hash"])
 
 
+@query(f"WITH {_SECTIONS} SELECT doc_id, (section_enum + 1)::VARCHAR AS enum, 'Title ' || (section_enum + 1) AS header, body_text FROM sections WHERE section_enum > 0")
+def section_numbered(spark, sf_dir):
+    """Lines under headings SEC. n.; the first heading is boilerplate and its section goes."""
+    line = lambda x, i: F.concat(F.lit("SEC. "), (i + 1).cast("string"), F.lit(". "), F.when(i == 0, "Short title.").otherwise(F.concat(F.lit("Title "), (i + 1).cast("string"))), F.lit("\n"), x)
+    text = F.concat(F.lit("preamble\n"), F.array_join(F.transform(F.split("text", "\n"), line), "\n"))
+    rows = _docs(spark, sf_dir).select("doc_id", F.explode(chunking.numbered_sections(text)).alias("s"))
+    return rows.select("doc_id", "s.enum", "s.header", "s.body_text")
+
+
+_PREFIX = "'[H.R. ' || doc_id || ', 110th Congress] —'"
+
+
+@query(f"""WITH w AS (SELECT doc_id, {_words('text')} AS w FROM documents), n AS (SELECT *, len(w) AS n, greatest(0, (len(w) - 7) // 120)::BIGINT AS last FROM w WHERE len(w) > 0),
+c AS (SELECT doc_id, w, n, last, unnest(range(0, last + 1)) AS i FROM n), x AS (SELECT doc_id, i::INT AS chunk_index, {_PREFIX} || ' ' || array_to_string(w[i * 120 + 1 : CASE WHEN i = last THEN n ELSE i * 120 + 120 END], ' ') AS text FROM c)
+SELECT *, {_TOKENS.format(w=_words('text'))}::INT AS tokens FROM x""")
+def section_packing(spark, sf_dir):
+    """A document as a section with subsections of 40 words each, of which three fit into a chunk of 100 tokens, and a rest of 6."""
+    words = T.words(F.coalesce("text", F.lit("")))
+    pieces = T.let(words, lambda w: F.struct(F.array_join(w, " ").alias("body"), F.transform(F.filter(F.sequence(F.lit(0), F.size(w)), lambda i: (i % 40 == 0) & (i < F.size(w))), lambda i: F.array_join(F.slice(w, i + 1, F.lit(40)), " ")).alias("subs")))
+    docs = _docs(spark, sf_dir).select("doc_id", pieces.alias("p"))
+    prefix = T.chunk_prefix(F.lit("hr"), F.col("doc_id"), F.lit(110), F.lit(""), F.lit(""))
+    return docs.select("doc_id", F.explode(chunking.section_chunk_udf(100, 16)(prefix, F.col("p.body"), F.col("p.subs"))).alias("c")).select("doc_id", "c.chunk_index", "c.text", "c.tokens")
+
+
+@query("SELECT c_custkey, o_orderkey, rn FROM (SELECT o_custkey AS c_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders) WHERE rn <= 3")
+def first_n_per_group(spark, sf_dir):
+    orders = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    return folds.number_within(orders, ["c_custkey"], ["o_orderkey"]).where("rn <= 3")
+
+
+_CODE = "CASE o_orderpriority WHEN '1-URGENT' THEN 'ENR' WHEN '2-HIGH' THEN 'eh' WHEN '3-MEDIUM' THEN 'rs' WHEN '4-NOT SPECIFIED' THEN 'zz' END"
+
+
+@query(f"""SELECT o_custkey, arg_min(o_orderkey, (r, v, b)) AS o_orderkey FROM (SELECT o_custkey, o_orderkey, coalesce(lower({_CODE}), '') AS v, o_orderkey || '-110' AS b,
+  CASE lower({_CODE}) WHEN 'enr' THEN 0 WHEN 'eh' THEN 2 WHEN 'rs' THEN 3 ELSE 99 END AS r FROM orders) GROUP BY o_custkey""")
+def alias_first(spark, sf_dir):
+    """The first alias of each customer's orders: by version rank, version, id."""
+    key = T.alias_key(F.expr(_CODE), F.concat(F.col("o_orderkey").cast("string"), F.lit("-110")), F.lit(None).cast("string"), F.lit(""))
+    return _t(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min_by("o_orderkey", key).alias("o_orderkey"))
+
+
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY k, n IS NULL, n, s, o_orderkey) - 1 AS place FROM (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'hr' ELSE 's' END AS k, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey END AS n, CASE WHEN o_orderstatus = 'P' THEN 'x' || o_orderkey ELSE o_orderkey::VARCHAR END AS s FROM orders) QUALIFY place < 500")
+def bill_order(spark, sf_dir):
+    """The first 500 orders as bills: by type, then number, numeric ones first."""
+    number = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("x"), "o_orderkey")).otherwise(F.col("o_orderkey").cast("string"))
+    kind = F.when(F.col("o_orderstatus") == "F", "hr").otherwise("s")
+    keyed = _t(spark, sf_dir, "orders").select("o_orderkey", T.bill_order_key(F.lit(110), kind, number, F.col("o_orderkey")).alias("_k"))
+    top = keyed.orderBy("_k").limit(500)
+    return search.ranked_hits(top, [F.col("_k")], "place").drop("_k")
+
+
 # --- packing
 
 
@@ -345,6 +397,11 @@ def source_hash(spark, sf_dir):
     return _source_rows(spark, sf_dir).select("doc_id", "section_enum", "source_hash")
 
 
+@query(f"WITH {_SOURCE} SELECT source, left(source_hash, 2) AS part, count(*)::BIGINT AS n, sum(('0x' || left(source_hash, 15))::BIGINT)::VARCHAR AS hash_sum FROM src GROUP BY ALL")
+def manifest_tree(spark, sf_dir):
+    return state.manifest_tree(_source_rows(spark, sf_dir), "source", "source_hash").withColumn("hash_sum", F.col("hash_sum").cast("string"))
+
+
 @query(f"WITH {_SOURCE} SELECT source, count(*)::BIGINT AS n, md5(string_agg(source_hash, ',' ORDER BY source_hash)) AS manifest_md5 FROM src GROUP BY source")
 def manifest_md5(spark, sf_dir):
     return state.manifest_md5(_source_rows(spark, sf_dir), "source", "source_hash")
@@ -363,7 +420,8 @@ _STATES = f"""{_SOURCE}, desired AS (SELECT DISTINCT doc_id AS bill_uid, source_
 
 
 def _states(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    rows = _source_rows(spark, sf_dir)
+    # both sides come from one pass over the texts
+    rows = folds.materialized(_source_rows(spark, sf_dir).select("doc_id", "lang", "section_enum", "source_hash"))
     desired = rows.select(F.col("doc_id").alias("bill_uid"), "source_hash").distinct()
     toxic = _toxic(spark, sf_dir).withColumn("_toxic", F.lit(True))
     old = rows.where("lang <> 'es'").join(toxic, "doc_id", "left")
@@ -417,12 +475,19 @@ def upsert_snapshot(spark, sf_dir):
 
 @query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def pending_anti(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", "source").join(_t(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti")
+    return embedding.pending(_docs(spark, sf_dir).select("doc_id", "source"), _t(spark, sf_dir, "labels"), ["doc_id"])
 
 
 @query("SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)")
 def changed_semi(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", "source").join(_toxic(spark, sf_dir), "doc_id", "left_semi")
+    return files.pruned_scan(_docs(spark, sf_dir).select("doc_id", "source"), _toxic(spark, sf_dir), "doc_id")
+
+
+@query("SELECT doc_id, source FROM documents")
+def changed_miss(spark, sf_dir):
+    """One id of the list is unknown, so the list can't be trusted and all rows are taken."""
+    ids = _toxic(spark, sf_dir).union(spark.range(1).selectExpr("-1L doc_id"))
+    return files.pruned_scan(_docs(spark, sf_dir).select("doc_id", "source"), ids, "doc_id")
 
 
 @query("SELECT o_orderkey, o_custkey, c_name FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') ON o_custkey = c_custkey")
@@ -466,6 +531,39 @@ def vec_topk(spark, sf_dir):
     return _rounded(search.top_k(e, _first(e), 40, "vec_id"))
 
 
+@query(_TOP.format(sim=_SIM, where="", k=40))
+def vec_topk_index(spark, sf_dir):
+    """The same rows by the index, exactly: cells that can't hold any of them are not read."""
+    e = _vectors(spark, sf_dir)
+    index = search.build_index(e, folds.shared_dir(spark, "index"), "vec_id", cells=16)
+    return _rounded(search.indexed_top_k(spark, index, _first(e), 40, "vec_id"))
+
+
+@query(f"""WITH top AS (SELECT vec_id, label, {_SIM} AS s FROM embeddings e ORDER BY s DESC, vec_id LIMIT 40)
+SELECT vec_id, label, round(s, 6) AS similarity, lang, source, n_chars FROM top LEFT JOIN documents ON doc_id = vec_id""")
+def vec_hits_hydrated(spark, sf_dir):
+    e = _vectors(spark, sf_dir)
+    details = _docs(spark, sf_dir).select(F.col("doc_id").alias("vec_id"), "lang", "source", "n_chars")
+    return search.hydrated(_rounded(search.top_k(e, _first(e), 40, "vec_id")), details, "vec_id")
+
+
+@query(f"""WITH top AS (SELECT vec_id, {_SIM} AS s FROM embeddings e ORDER BY s DESC, vec_id LIMIT 100)
+SELECT source, round(max(s), 6) AS similarity, count(*)::BIGINT AS n FROM top JOIN documents ON doc_id = vec_id GROUP BY source ORDER BY max(s) DESC, source LIMIT 10""")
+def vec_overfetch_join(spark, sf_dir):
+    """Embeddings over-fetched, joined to their chunks by id, then grouped by bill."""
+    e = _vectors(spark, sf_dir)
+    near = search.hydrated(search.top_k(e, _first(e), 100, "vec_id"), _docs(spark, sf_dir).select(F.col("doc_id").alias("vec_id"), "source"), "vec_id")
+    found = near.where("source is not null").groupBy("source").agg(F.max("similarity").alias("similarity"), F.count("*").alias("n"))
+    return _rounded(found.orderBy(F.desc("similarity"), "source").limit(10))
+
+
+@query(f"""WITH s AS (SELECT vec_id, label, {_SIM} AS s FROM embeddings e), g AS (SELECT DISTINCT label FROM (SELECT label FROM s ORDER BY s DESC, vec_id LIMIT 5))
+SELECT vec_id, label, round(s, 6) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY s DESC, vec_id) AS rn FROM s JOIN g USING (label)) WHERE rn <= 3""")
+def vec_within_groups(spark, sf_dir):
+    e = _vectors(spark, sf_dir)
+    return _rounded(search.within_groups(e, search.top_k(e, _first(e), 5, "vec_id"), _first(e), 3, "label", "vec_id"))
+
+
 @query(_TOP.format(sim=_SIM, where=" WHERE label BETWEEN 2 AND 6", k=10))
 def vec_topk_filtered(spark, sf_dir):
     e = _vectors(spark, sf_dir)
@@ -655,9 +753,172 @@ def vote_text(spark, sf_dir):
     return chunking.vote_chunks(_votes(spark, sf_dir), 512, 64).select("o_orderkey", "vote_id", "text", "token_count", "chunk_index", "content_hash", "source_hash")
 
 
+_LONG_PREFIX = "'[Vote v' || doc_id || ', House, 2001-02-03] ' || lang || ': ' || source"
+
+
+@query(f"""WITH b AS (SELECT doc_id, {_clean(_LONG_PREFIX)} AS p, {_clean("replace(text, '.', ' ')")} AS q FROM documents WHERE text IS NOT NULL),
+n AS (SELECT doc_id, p, concat_ws(chr(10), CASE WHEN q <> '' THEN 'Question: ' || q END, 'Result: Passed') AS t FROM b),
+x AS (SELECT *, {_words('t')} AS w, greatest(1, 56 - {_TOKENS.format(w=_words('p'))}::INT) AS room, {_clean("p || chr(10) || t")} AS whole FROM n),
+c AS (SELECT *, {_TOKENS.format(w=_words('whole'))} <= 64 AS fits, room - least(8, room - 1) AS step FROM x),
+i AS (SELECT *, unnest(range(0, CASE WHEN fits OR len(w) <= room THEN 1 ELSE ceil((len(w) - room) / step::DOUBLE)::BIGINT + 1 END)) AS i FROM c)
+SELECT doc_id, i::INT AS chunk_index, CASE WHEN fits THEN whole ELSE {_clean("p || chr(10) || array_to_string(w[i * step + 1 : i * step + room], ' ')")} END AS text FROM i""")
+def vote_overflow(spark, sf_dir):
+    """Votes whose question is a whole document, without full stops: most overflow and are cut into windows."""
+    docs = _docs(spark, sf_dir).where("text is not null").select(
+        "doc_id", F.concat(F.lit("v"), "doc_id").alias("vote_id"), F.lit("h").alias("chamber"), F.lit("2001-02-03T00:00:00").alias("date"), F.col("lang").alias("category"), F.col("source").alias("type"),
+        F.replace("text", F.lit("."), F.lit(" ")).alias("question"), F.lit("").alias("subject"), F.lit("Passed").alias("result"), F.lit("").alias("bill_id"),
+    )
+    return chunking.vote_chunks(docs, 64, 8).select("doc_id", "chunk_index", "text")
+
+
+# --- files: suppliers as bills and votes of a scraped tree
+
+_STEM = "'110/bills/hr/hr' || s_suppkey"
+
+
+def _written(spark, rows: DataFrame) -> str:
+    root = folds.shared_dir(spark, "tree")
+    files.write_files(rows, root)
+    return root
+
+
+def _suppliers(spark, sf_dir) -> DataFrame:
+    return _t(spark, sf_dir, "supplier")
+
+
+@query("""SELECT 'hr' || s_suppkey || '-110' AS bill_id, 110 AS congress, 'hr' AS type, s_suppkey::VARCHAR AS number, CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE s_name END AS short_title,
+  CASE WHEN s_suppkey % 5 = 0 OR s_suppkey % 3 = 0 THEN '' ELSE 'An act of ' || s_name END AS official_title, CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE 'REPORTED' END AS status FROM supplier""")
+def bill_tree_scan(spark, sf_dir):
+    """A data.json for each bill, some without id and title, some malformed."""
+    title = F.expr("CASE WHEN s_suppkey % 3 <> 0 THEN 'An act of ' || s_name END")
+    made = F.to_json(F.struct(F.expr("CASE WHEN s_suppkey % 3 <> 0 THEN 'hr' || s_suppkey || '-110' END").alias("bill_id"), F.col("s_name").alias("short_title"), title.alias("official_title"), F.lit("REPORTED").alias("status")))
+    content = F.when(F.col("s_suppkey") % 5 == 0, "{ not json").otherwise(made)
+    root = _written(spark, _suppliers(spark, sf_dir).select(F.expr(_STEM + " || '/data.json'").alias("path"), content.alias("content")))
+    return files.bill_tree(spark, root)
+
+
+@query("""SELECT 'v' || s_suppkey AS vote_id, 110 AS congress, s_suppkey::INT AS number, 'h' AS chamber, '2007' AS session, CASE WHEN s_suppkey % 4 = 1 THEN '' ELSE s_name END AS question,
+  CASE WHEN s_suppkey % 2 = 0 THEN '' ELSE 'On ' || s_name END AS subject, CASE WHEN s_suppkey % 3 <> 0 THEN 'hr' || s_nationkey || '-110' END AS bill_id FROM supplier WHERE s_suppkey % 7 <> 0""")
+def vote_tree_scan(spark, sf_dir):
+    """A data.json for each vote; those without an id go."""
+    bill = F.expr("CASE WHEN s_suppkey % 3 <> 0 THEN named_struct('congress', '110', 'number', string(s_nationkey), 'type', 'HR') END")
+    record = F.struct(
+        F.expr("CASE WHEN s_suppkey % 7 <> 0 THEN ' v' || s_suppkey || ' ' END").alias("vote_id"), F.lit("h").alias("chamber"), F.lit("110").alias("congress"), F.lit("2007").alias("session"), F.col("s_suppkey").cast("string").alias("number"),
+        F.expr("CASE WHEN s_suppkey % 4 <> 1 THEN s_name END").alias("question"), F.expr("CASE WHEN s_suppkey % 2 <> 0 THEN 'On ' || s_name END").alias("subject"), bill.alias("bill"),
+    )
+    root = _written(spark, _suppliers(spark, sf_dir).select(F.expr("'110/votes/2007/h' || s_suppkey || '/data.json'").alias("path"), F.to_json(record).alias("content")))
+    return files.votes(spark, root).select("vote_id", "congress", "number", "chamber", "session", "question", "subject", "bill_id")
+
+
+_XML = (
+    "'<bill bill-stage=\"IH\"><form><legis-num>H. R. ' || s_suppkey || '</legis-num><congress>110th</congress><official-title>An <em>act</em> of ' || s_name || ' .</official-title></form><legis-body>"
+    "<section><enum>1.</enum><header>Short title</header><text>Named.</text></section><section><enum>2. </enum><header>Head  of ' || s_name || '</header><text>Body of ' || s_name || ' , yes.</text>"
+    "<subsection>a one</subsection><subsection>b two</subsection></section><section><enum>3.</enum><header>Empty</header></section></legis-body></bill>'"
+)
+
+
+def _bill_files(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Sidecars and contents of XML bills; one in six is malformed."""
+    s = _suppliers(spark, sf_dir)
+    meta = F.to_json(F.struct(F.expr("'hr' || s_suppkey || '-110'").alias("bill_id"), F.lit(110).alias("congress"), F.lit("hr").alias("type"), F.col("s_suppkey").cast("string").alias("number"), F.lit("ih").alias("version"), F.lit("xml").alias("format")))
+    content = F.when(F.col("s_suppkey") % 6 == 0, F.concat(F.lit("<bill>broken  "), "s_name")).otherwise(F.expr(_XML))
+    rows = s.select(F.expr(_STEM + " || '/text/ih.meta.json'").alias("path"), meta.alias("content")).union(s.select(F.expr(_STEM + " || '/text/ih.xml'"), content))
+    root = _written(spark, rows)
+    return files.sidecars(spark, root), files.contents(spark, root)
+
+
+@query("""SELECT 'hr' || s_suppkey || '-110' AS bill_id, s_suppkey % 6 <> 0 AS ok,
+  CASE WHEN s_suppkey % 6 <> 0 THEN 'H. R. ' || s_suppkey || ' 110th An act of ' || s_name || '. 1. Short title Named. 2. Head of ' || s_name || ' Body of ' || s_name || ', yes. a one b two 3. Empty' END AS full_text,
+  CASE WHEN s_suppkey % 6 <> 0 THEN 'H. R. ' || s_suppkey || ' 110th An act of ' || s_name || ' . 1. Short title Named. 2. Head  of ' || s_name || ' Body of ' || s_name || ' , yes. a one b two 3. Empty' ELSE 'broken ' || s_name END AS hash_text,
+  CASE WHEN s_suppkey % 6 <> 0 THEN 'IH' END AS bill_stage, CASE WHEN s_suppkey % 6 <> 0 THEN 'H. R. ' || s_suppkey END AS legis_num, CASE WHEN s_suppkey % 6 <> 0 THEN 'An act of ' || s_name || '.' END AS official_title FROM supplier""")
+def xml_documents(spark, sf_dir):
+    joined = files.with_content(*_bill_files(spark, sf_dir))
+    out = xml.parsed(joined, "bill_id", "content")
+    return out.select(F.col("doc_key").alias("bill_id"), "ok", "full_text", "hash_text", "bill_stage", "legis_num", "official_title")
+
+
+@query("SELECT 'hr' || s_suppkey || '-110' AS bill_id, '2.' AS enum, 'Head of ' || s_name AS header, 'Body of ' || s_name || ', yes. a one b two' AS body_text, 'a one|b two' AS sub_texts FROM supplier WHERE s_suppkey % 6 <> 0")
+def xml_sections(spark, sf_dir):
+    joined = files.with_content(*_bill_files(spark, sf_dir))
+    out = xml.parsed(joined, "bill_id", "content").select(F.col("doc_key").alias("bill_id"), F.explode("sections").alias("s"))
+    return out.select("bill_id", "s.enum", "s.header", "s.body_text", F.array_join("s.sub_texts", "|").alias("sub_texts"))
+
+
+# --- stored rows
+
+_FIELDS = "doc_id::VARCHAR AS bill_id, 110 AS congress, 'hr' AS type, lang AS status, NULLIF(source, 'src1') AS section_header"
+
+
+def _records(spark, sf_dir) -> DataFrame:
+    """Documents as chunk records, with nulls where files have them."""
+    docs, null = _docs(spark, sf_dir), F.lit(None).cast("string")
+    return docs.select(
+        F.col("doc_id").cast("string").alias("bill_id"), F.when(F.col("lang") == "en", F.lit("7")).alias("canonical_bill_id"), F.lit("110").alias("congress"), F.lit("hr").alias("type"), F.col("doc_id").cast("string").alias("number"),
+        null.alias("short_title"), F.lit("ih").alias("version"), F.col("lang").alias("status"), F.col("n_chars").cast("string").alias("section_enum"), F.nullif("source", F.lit("src1")).alias("section_header"),
+        F.when(F.col("lang") != "de", 3).alias("chunk_index"), F.col("lang").alias("text"), F.lit("x").alias("tokens"), null.alias("document_text_hash"), F.sha2("text", 256).alias("section_text_hash"), F.lit(4).alias("original_chunk_index"),
+        F.sha2(F.col("doc_id").cast("string"), 256).alias("source_hash"),
+    )
+
+
+@query("""SELECT sha256(doc_id::VARCHAR) AS source_hash, CASE WHEN lang = 'en' THEN '7' ELSE doc_id::VARCHAR END AS canonical_bill_id, 110 AS congress, doc_id::VARCHAR AS bill_number,
+  n_chars || CASE WHEN source <> 'src1' THEN ' ' || source ELSE '' END AS section_path, '' AS title, lang AS body, 0 AS token_count, CASE WHEN lang <> 'de' THEN 3 ELSE 0 END AS chunk_index, CASE WHEN source <> 'src1' THEN source ELSE '' END AS section_header, '' AS document_text_hash FROM documents""")
+def chunk_row_projection(spark, sf_dir):
+    return rows.chunk_rows(_records(spark, sf_dir), "m").select("source_hash", "canonical_bill_id", "congress", "bill_number", "section_path", "title", "body", "token_count", "chunk_index", "section_header", "document_text_hash")
+
+
+@query("""SELECT 1.0::DOUBLE AS similarity, 110 AS congress, 'bill' AS source_kind, doc_id::VARCHAR AS bill_id, '' AS vote_id, '' AS title, lang AS status, n_chars::VARCHAR AS section_enum, CASE WHEN source <> 'src1' THEN source ELSE '' END AS section_header, 'hr' AS type, '' AS body FROM documents""")
+def hit_projection(spark, sf_dir):
+    return rows.hits(_records(spark, sf_dir).withColumn("similarity", F.lit(1.0)), "bill").select("similarity", "congress", "source_kind", "bill_id", "vote_id", "title", "status", "section_enum", "section_header", "type", "body")
+
+
+@query("""WITH n AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id::VARCHAR) AS rn FROM documents)
+SELECT 'chunk-' || lpad(rn::VARCHAR, 9, '0') AS custom_id, (floor((rn - 1) / 300) + 1)::INT AS file, 'h|' || sha256(doc_id::VARCHAR) AS identity, '{"model":"m","input":"' || lang || '","dimensions":8}' AS body FROM n""")
+def request_files(spark, sf_dir):
+    return rows.request_map(_records(spark, sf_dir), ["bill_id"], 300, "m", 8)
+
+
+@query("""SELECT doc_id::VARCHAR AS bill_id, CASE WHEN row_number() OVER (ORDER BY doc_id::VARCHAR) % 3 = 0 THEN row_number() OVER (ORDER BY doc_id::VARCHAR) END AS embedding FROM documents""")
+def request_results(spark, sf_dir):
+    """Results of every third request, merged back by custom id and identity."""
+    chunks = _records(spark, sf_dir)
+    requests = folds.materialized(rows.request_map(chunks, ["bill_id"], 300, "m", 8))
+    n = F.substring("custom_id", 7, 9).cast("bigint")
+    results = requests.where(n % 3 == 0).select("custom_id", n.alias("embedding"))
+    return rows.merge_results(chunks, requests, results).select("bill_id", "embedding")
+
+
 # --- aggregates
 
 
+@query("SELECT source, lang, grouping(source, lang)::INT AS level, count(*)::BIGINT AS n_chunks, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY ROLLUP (source, lang)")
+def congress_totals(spark, sf_dir):
+    """Totals by congress and type, by congress, and over all."""
+    out = _docs(spark, sf_dir).rollup("source", "lang").agg(F.grouping_id().cast("int").alias("level"), F.count("*").alias("n_chunks"), F.sum("n_chars").alias("chars"))
+    return out.select("source", "lang", "level", "n_chunks", "chars")
+
+
+@query("SELECT min(d) AS date_from, max(d) AS date_to FROM (SELECT nullif(trim(strftime(ts, '%Y-%m-%dT%H:%M:%S')), '') AS d FROM events)")
+def date_bounds_all(spark, sf_dir):
+    d = F.nullif(F.trim(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")), F.lit(""))
+    return _t(spark, sf_dir, "events").select(d.alias("d")).agg(F.min("d").alias("date_from"), F.max("d").alias("date_to"))
+
+
+@query("SELECT source, (count(*) FILTER (doc_id NOT IN (SELECT doc_id FROM labels)))::BIGINT AS to_embed, count(*)::BIGINT AS total FROM documents GROUP BY source")
+def manifest_missing(spark, sf_dir):
+    """Missing and all chunks by congress, from a manifest that holds an array of shards per congress."""
+    have = _t(spark, sf_dir, "labels").select("doc_id", F.lit(1).alias("_have")).distinct()
+    shards = _docs(spark, sf_dir).join(have, "doc_id", "left").groupBy("source", "lang").agg(F.count_if(F.col("_have").isNull()).alias("to_embed"), F.count("*").alias("total"))
+    manifest = shards.groupBy("source").agg(F.collect_list(F.struct("to_embed", "total")).alias("shards"))  # at most one per language
+    return manifest.select("source", F.explode("shards").alias("s")).groupBy("source").agg(F.sum("s.to_embed").alias("to_embed"), F.sum("s.total").alias("total"))
+
+
+@query("SELECT source AS name, false AS ok FROM documents GROUP BY source HAVING sum(n_chars) > 70000")
+def invariant_violations(spark, sf_dir):
+    checks = _docs(spark, sf_dir).groupBy(F.col("source").alias("name")).agg((F.sum("n_chars") <= 70000).alias("ok"))
+    return state.violations(checks)
+
+
+
 @query("SELECT event_type, min(d) AS date_from, max(d) AS date_to FROM (SELECT event_type, nullif(trim(strftime(ts, '%Y-%m-%dT%H:%M:%S')), '') AS d FROM events) GROUP BY event_type")
 def date_bounds(spark, sf_dir):
     d = F.nullif(F.trim(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")), F.lit(""))
@@ -688,9 +949,21 @@ def axis_embedding(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", F.when(at > 0, (at - 1).cast("int")).alias("axis"))
 
 
+_CHAIN = ", ".join(f"sha256(unhex(d{k})) AS d{k + 1}" for k in range(1, 8))
+
+
+@query(f"""WITH h AS (SELECT doc_id, sha256({_hash('text')}) AS d1 FROM documents WHERE text IS NOT NULL), c AS (SELECT doc_id, d1, {_CHAIN} FROM h),
+v AS (SELECT doc_id, i, (x - CASE WHEN x >= 2147483648 THEN 4294967296 ELSE 0 END) / 2147483648.0::DOUBLE AS v FROM (SELECT doc_id, i, ('0x' || substr(d1 || d2 || d3 || d4 || d5 || d6 || d7 || d8, i * 8 + 1, 8))::BIGINT AS x FROM c, range(0, 64) AS r(i)))
+SELECT doc_id, i::INT AS i, round(v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)), 6) AS value FROM v""")
+def fake_embedding_values(spark, sf_dir):
+    """Each value of the digest embedding of each document."""
+    rows = _docs(spark, sf_dir).where("text is not null").select("doc_id", V.hash_embedding_udf(64)(T.text_hash(F.col("text"))).alias("e"))
+    return rows.select("doc_id", F.posexplode("e").alias("i", "value")).withColumn("value", F.round("value", 6))
+
+
 @query()
 def fake_embedding(spark, sf_dir):
-    """No SQL: chained digests read as integers. Tested against a plain implementation."""
+    """The same as arrays. Tested against a plain implementation."""
     rows = _docs(spark, sf_dir).select("doc_id", T.text_hash(F.col("text")).alias("source_hash"))
     return rows.withColumn("embedding", V.hash_embedding_udf(64)(F.col("source_hash")))
 
@@ -707,11 +980,7 @@ def chunk_sections(spark, sf_dir):
 @query("SELECT event_id, user_id, event_type, sha256(event_id::VARCHAR) AS _digest FROM events")
 def incremental_stream(spark, sf_dir):
     """Takes the event files as a stream of what is available, and returns the merged snapshot."""
-    import tempfile
-    import uuid
-
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.gettempdir() + "/folioscope"
-    out = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    out = folds.shared_dir(spark, "stream")
     path = f"{sf_dir}/events.parquet"
     schema = spark.read.parquet(path).schema
     folder, glob = (path, "*.parquet") if os.path.isdir(path) else (sf_dir, "events.parquet")

@@ -136,7 +136,7 @@ def write_snapshot(df: DataFrame, root: str, name: str, partition: str | None =
 
 
 def promote(spark: SparkSession, root: str, name: str) -> None:
-    """Flips the pointer to a finished snapshot; refuses one without _SUCCESS."""
+    """Flips the pointer to a finished snapshot in one rename, so that readers always find one; refuses one without _SUCCESS."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     Path = jvm.org.apache.hadoop.fs.Path
     fs = Path(root).getFileSystem(conf)
@@ -145,8 +145,36 @@ def promote(spark: SparkSession, root: str, name: str) -> None:
     out = fs.create(Path(f"{root}/CURRENT.next"), True)
     out.write(bytearray(name.encode()))
     out.close()
-    fs.delete(Path(f"{root}/CURRENT"), False)
-    fs.rename(Path(f"{root}/CURRENT.next"), Path(f"{root}/CURRENT"))
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+    context.rename(fs.makeQualified(Path(f"{root}/CURRENT.next")), fs.makeQualified(Path(f"{root}/CURRENT")), overwrite)
+
+
+def write_files(df: DataFrame, root: str) -> None:
+    """Writes (path, content) rows as files below ``root``, each whole: under a name of its attempt, then renamed."""
+    import uuid
+    from collections.abc import Iterator
+
+    import pyarrow as pa
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs as files
+
+        fs, base = files.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else "file://" + root)
+        n = 0
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                to = f"{base}/{path}"
+                fs.create_dir(to.rsplit("/", 1)[0], recursive=True)
+                own = f"{to}.{uuid.uuid4().hex}.part"
+                with fs.open_output_stream(own) as f:
+                    f.write(content)
+                fs.move(own, to)
+                n += 1
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
+    df.selectExpr("cast(path as string) path", "cast(content as binary) content").mapInArrow(write, "n long").agg(F.sum("n")).collect()
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
