@@ -86,7 +86,7 @@ class Model:
         self.langs = sorted(samples)
         # an automaton has under two states a byte; with very many languages the samples shrink to keep the bound
         width = len({c for s in samples.values() for c in s}) + 1
-        longest = max(256, table_bytes // (4 * width * 2 * max(1, len(samples))))
+        longest = max(32, table_bytes // (4 * width * 2 * max(1, len(samples))))
         samples = {k: s[:longest] for k, s in samples.items()}
         automata = [Automaton(samples[k]) for k in self.langs]
         seen = np.unique(np.concatenate([a.edges[:, 1] for a in automata])) if automata else np.zeros(0, int)
@@ -174,7 +174,7 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, sample_bytes: int = 32 << 10, candidates: int = 400, most_langs: int = 512) -> Model:
+def fit(docs: DataFrame, sample_bytes: int = 32 << 10, candidates: int = 400, most_langs: int = 10_000) -> Model:
     """Learns from a bounded sample: at most ``candidates`` documents and ``sample_bytes`` of text a language, of the
     ``most_langs`` languages with most labelled documents.
 
@@ -188,8 +188,9 @@ def fit(docs: DataFrame, sample_bytes: int = 32 << 10, candidates: int = 400, mo
     per_lang = {r["lang"]: r["count"] for r in counts.collect()}
     if not per_lang:
         return Model({})
-    below = F.create_map(*[F.lit(x) for k, n in per_lang.items() for x in (k, min(1 << 30, int(2 * candidates / n * (1 << 30)) + 1))])
-    drawn = rows.withColumn("draw", draw).where(F.col("draw") < below[F.col("lang")])
+    below = [(k, min(1 << 30, int(2 * candidates / n * (1 << 30)) + 1)) for k, n in per_lang.items()]
+    below = docs.sparkSession.createDataFrame(below, "lang string, below long")  # a row per language, most_langs at most
+    drawn = rows.withColumn("draw", draw).join(F.broadcast(below), "lang").where("draw < below")
     # at 32 bits a character, a text's first sample_bytes characters are all that can enter the sample
     drawn = drawn.select("lang", "draw", "doc_id", F.substring("text", 1, sample_bytes).alias("text"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", F.xxhash64("text")))

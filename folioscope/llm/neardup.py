@@ -25,7 +25,7 @@ from . import scan, skew
 
 BANDS, ROWS = 20, 4
 T = BANDS * ROWS
-BLOCK_ROWS, BLOCK_SHINGLES = 256, 500_000
+BLOCK_ROWS, BLOCK_SHINGLES = 1024, 500_000
 _U = np.uint64
 _A, _B = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9)
 _SEEDS = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 64, 2 * T, dtype=np.uint64)
@@ -254,13 +254,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     placed = in_bucket.where("c > 2").join(first, F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "rep")).drop("node")
     placed = scan.checkpointed(placed.select("b", "key", "rep", "n", "comp", "center", "c", "weight"))
     home = placed.groupBy("b", "key").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.when(F.col("rep") == F.col("center"), F.col("comp"))).alias("home")
-    ).where("lo <> hi").select("b", "key", "home")
-    mixed = placed.join(home, ["b", "key"])
+        F.first("c").alias("home_c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.when(F.col("rep") == F.col("center"), F.col("comp"))).alias("home")
+    ).where("lo <> hi").select("b", "key", "home", "home_c")
+    mixed = skew.lookup(placed, scan.checkpointed(home), ["b", "key"], "home_c", total).where("home is not null").drop("home_c")
     queries = mixed.where("comp <> home")
-    count = queries.groupBy("b", "key").agg(F.count("*").alias("qc"), F.sum("n").alias("qw"))
+    count = queries.groupBy("b", "key").agg(F.count("*").alias("qc"), F.sum("n").alias("qw"), F.first("c").alias("count_c"))
     blocks = lambda c, w: F.ceil(F.greatest(F.col(c) / BLOCK_ROWS, F.col(w) / BLOCK_SHINGLES)).cast("int")
-    sized = scan.checkpointed(mixed.join(count, ["b", "key"]).withColumn("mb", blocks("c", "weight")).withColumn("qb", blocks("qc", "qw")).withColumn("query", (F.col("comp") != F.col("home")).cast("int")))
+    sized = scan.checkpointed(skew.lookup(mixed, count, ["b", "key"], "count_c", total).drop("count_c").withColumn("mb", blocks("c", "weight")).withColumn("qb", blocks("qc", "qw")).withColumn("query", (F.col("comp") != F.col("home")).cast("int")))
     own = lambda k: F.pmod(F.xxhash64("rep"), F.col(k)).cast("int")
     every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
     cols = ["b", "key", "i", "j", "rep", "comp", "n"]

@@ -52,6 +52,43 @@ def test_query_on_awkward_rows(spark, awkward, name):
     assert len(got) == (4 if table == "conversations" else rows)
 
 
+#: What the rows without text, with empty text, of white space, and without anything give, by query.
+DEFINED = {
+    "op1_quality_rules": {d: {"n_words": 0, "word_chars": 0, "n_dup_lines": 0, "base_failed": True, "kept": False} for d in (500, 501, 502, None)},
+    "op2_decontamination": {500: {"n_words": 0, "n_hit": 0, "contaminated": False}, 501: {"n_words": 0, "n_items": 0}, 502: {"n_words": 0}, 504: {"n_words": 20, "n_hit": 20, "n_items": 1, "contaminated": True}},
+    "op3_mixing": {500: {"size": 0, "taken": 0}, 501: {"size": 0, "taken": 0, "source": None}, 502: {"size": 0, "taken": 0}},
+    "op4_token_output": {500: {"n_tokens": 1}, 501: {"n_tokens": 1}, 505: {"n_tokens": 200_002}},
+    "op5_language_id": {500: {"lang_pred": "und", "score": 0.0}, 501: {"lang_pred": "und", "score": 0.0}, 502: {"lang_pred": "und"}, 503: {"lang_pred": "und", "score": 0.0}},
+    "op7_pii": {d: {"n_email": 0, "n_spans": 0, "spans": ""} for d in (500, 501, 502)},
+    "op8_near_dedup": {500: {"n_shingles": 0, "component_id": 500, "kept": True}, 501: {"n_shingles": 0, "component_id": 501}, 506: {"component_id": 3, "kept": False}, 507: {"component_id": 3}, 508: {"component_id": 4, "kept": False}},
+}
+
+
+@pytest.mark.parametrize("name", sorted(DEFINED))
+def test_defined_results(spark, awkward, name):
+    got = registry.QUERIES[name](spark, awkward).collect()
+    for doc_id, want in DEFINED[name].items():
+        rows = [r for r in got if r["doc_id"] == doc_id]
+        if name == "op1_quality_rules" and doc_id is None:
+            rows = [r for r in rows if r["n_words"] == 0]
+        assert rows and all(r[c] == v for r in rows for c, v in want.items()), (name, doc_id, rows)
+    if name == "op4_token_output":  # nulls first; each document begins where the one before ends
+        assert [r["doc_id"] for r in sorted(got, key=lambda r: r["start"])][:2] == [None, None]
+        ends = sorted((r["start"], r["start"] + r["n_tokens"]) for r in got)
+        assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+    if name == "op8_near_dedup":
+        assert all(r["component_id"] is None and r["kept"] for r in got if r["doc_id"] is None)
+
+
+def test_defined_results_of_pages_and_conversations(spark, awkward):
+    text = {r["page_id"]: (r["text"], r["n_chars"]) for r in registry.op9_html_extraction(spark, awkward).collect()}
+    assert text == {1: ("x", 1), None: ("", 0), 2: ("", 0), 3: ("y" * 300_000, 300_000)}
+    warc = {(r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in registry.op10_warc(spark, awkward).collect()}
+    assert warc == {(1, 8, "response", None), (None, 0, "response", None), (2, 0, "response", None), (3, 300_003, "response", None)}
+    chat = {r["conv_id"]: (r["n_turns"], r["loss_chars"]) for r in registry.op6_chat_formatting(spark, awkward).collect()}
+    assert chat == {1: (2, 0), None: (1, 0), 2: (1, 4000), -7: (2, 21)}
+
+
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_on_empty_tables(spark, empty, name):
     assert registry.QUERIES[name](spark, empty).count() == (1 if name.startswith("op6") else 0)
