@@ -73,24 +73,28 @@ def sliding_windows(text: Column, most: int, overlap: int, tail: str = "clean",
     return F.transform(F.array(T.words(F.coalesce(text, F.lit("")))), cut)[0]
 
 
+def _sentence_end(words: list[str]) -> int:
+    """How many of the words to take so that the last full stop of the text's second half ends it; 0 if there is none."""
+    text = " ".join(words)
+    stop = text.rfind(". ")
+    return text.count(" ", 0, stop) + 1 if stop > len(text) // 2 else 0
+
+
 def sentence_windows(text: str, most: int, overlap: int, tail: str = "clean") -> list[tuple[int, str]]:
-    """(start, text) of windows that end at the last full stop of their second half, if there is one."""
+    """(start, text) of windows of at most ``most`` words, cut back to the end of a sentence where one ends late enough."""
     w = text.split()
     if len(w) <= most:
         return [(0, text)]
-    out, start = [], 0
-    while start < len(w):
-        end = min(start + most, len(w))
-        piece = " ".join(w[start:end])
-        if end < len(w):
-            stop = piece.rfind(". ")
-            if stop > len(piece) // 2:
-                piece = piece[: stop + 1]
-                end = start + len(piece.split())
-        out.append((start, piece.strip()))
-        if end >= len(w) and tail == "clean":
-            break
-        start = max(end - overlap, start + 1)
+    out, at = [], 0
+    while at < len(w):
+        words = w[at : at + most]
+        if at + most < len(w):
+            words = words[: _sentence_end(words) or most]
+        out.append((at, " ".join(words)))
+        after = at + len(words)
+        if tail == "clean" and after == len(w):
+            return out
+        at = max(at + 1, after - overlap)
     return out
 
 

@@ -169,13 +169,14 @@ class Index:
     """Vectors in Parquet, a folder per cell, with the cells' unit centers and the least similarity of a member to its own."""
 
     path: str
+    schema: StructType
     vector: str
     centers: np.ndarray
     least: np.ndarray
 
     def rows(self, spark: SparkSession, cells: list[int]) -> DataFrame:
         """The rows of the given cells: other cells' files are not read."""
-        return spark.read.parquet(self.path).where(F.col("cell").isin(cells)).drop("cell")
+        return spark.read.schema(self.schema).parquet(self.path).where(F.col("cell").isin(cells)).drop("cell", "_near")
 
 
 def _centers(sample: np.ndarray, cells: int, rounds: int = 12) -> np.ndarray:
@@ -224,7 +225,7 @@ def build_index(df: DataFrame, path: str, key: str, vector: str = "embedding", c
     if len(centers):
         for r in spark.read.schema(schema).parquet(path).groupBy("cell").agg(F.min("_near").alias("m")).collect():  # a row per cell
             least[r["cell"]] = r["m"]
-    return Index(path, vector, centers, least)
+    return Index(path, schema, vector, centers, least)
 
 
 def indexed_top_k(spark: SparkSession, index: Index, query: list[float], k: int, key: str, probes: int = 4, exact: bool = True) -> DataFrame:
@@ -236,11 +237,11 @@ def indexed_top_k(spark: SparkSession, index: Index, query: list[float], k: int,
     """
     q = V.unit(query)
     if not len(index.centers):
-        return top_k(spark.read.parquet(index.path).drop("cell", "_near"), query, k, key, index.vector)
+        return top_k(index.rows(spark, []), query, k, key, index.vector)
     near = index.centers @ q
     order = np.argsort(-near, kind="stable")
     cells = [int(c) for c in order[:probes]]
-    found = top_k(index.rows(spark, cells).drop("_near"), query, k, key, index.vector)
+    found = top_k(index.rows(spark, cells), query, k, key, index.vector)
     if not exact:
         return found
     have = found.select("similarity").collect()  # k numbers
@@ -250,4 +251,4 @@ def indexed_top_k(spark: SparkSession, index: Index, query: list[float], k: int,
         bound = math.acos(max(-1.0, min(1.0, have[-1][0])))
         angle = np.arccos(np.clip(near, -1, 1)) - np.arccos(np.clip(index.least, -1, 1))
         cells = [int(c) for c in order if c in cells or angle[c] <= bound + 1e-7]
-    return top_k(index.rows(spark, cells).drop("_near"), query, k, key, index.vector)
+    return top_k(index.rows(spark, cells), query, k, key, index.vector)

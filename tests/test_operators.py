@@ -177,3 +177,96 @@ def test_metrics(spark):
 def test_index_percentiles(spark):
     df = spark.createDataFrame([("a", float(k)) for k in range(10)] + [("b", 5.0), ("b", None)], "k string, v double")
     assert {r["k"]: (r["n"], r["p50"], r["p95"]) for r in evaluation.index_percentiles(df, "k", "v").collect()} == {"a": (10, 5.0, 9.0), "b": (1, 5.0, 5.0)}
+
+
+def _vectors(rng, n, size=16, centers=12):
+    import numpy as np
+
+    middle = rng.normal(size=(centers, size))
+    return (middle[rng.integers(0, centers, n)] + 0.4 * rng.normal(size=(n, size))).astype(np.float32)
+
+
+def test_index_search_is_exact_and_its_short_form_recalls_nine_in_ten(spark, tmp_path):
+    import numpy as np
+
+    from folioscope.operators import search
+
+    rng = np.random.default_rng(4)
+    x = _vectors(rng, 3000)
+    rows = [(k, "t", v.tolist()) for k, v in enumerate(x)] + [(5000, "t", None), (5001, "t", [0.0] * 16), (5002, "t", [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, label string, embedding array<float>")
+    index = search.build_index(df, f"file://{tmp_path}/index", "vec_id", cells=24)
+    found = 0
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True).astype(np.float64)
+    for q in x[:6] + 0.1 * rng.normal(size=(6, 16)):
+        sim = unit @ (q / np.linalg.norm(q))
+        want = np.lexsort((np.arange(len(x)), -sim))[:20].tolist()
+        got = search.indexed_top_k(spark, index, q.tolist(), 20, "vec_id").collect()
+        assert [r["vec_id"] for r in got] == want and got[0]["similarity"] == pytest.approx(sim[want[0]])
+        short = search.indexed_top_k(spark, index, q.tolist(), 20, "vec_id", probes=6, exact=False).collect()
+        found += len({r["vec_id"] for r in short} & set(want))
+    assert found >= 0.9 * 6 * 20
+    assert spark.read.parquet(index.path).count() == 3000
+    # more rows asked for than there are, and an empty table
+    assert search.indexed_top_k(spark, index, x[0].tolist(), 4000, "vec_id").count() == 3000
+    none = search.build_index(df.limit(0), f"file://{tmp_path}/none", "vec_id")
+    assert search.indexed_top_k(spark, none, [1.0], 3, "vec_id").count() == 0
+
+
+def test_exact_search_reads_fewer_cells(spark, tmp_path):
+    import numpy as np
+
+    from folioscope.operators import search
+
+    x = _vectors(np.random.default_rng(5), 2000, 16, 8) / 1.0
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    index = search.build_index(df, f"file://{tmp_path}/index", "vec_id", cells=8)
+    read = []
+    rows = search.Index.rows
+    search.Index.rows = lambda self, s, cells: (read.append(len(cells)), rows(self, s, cells))[1]
+    try:
+        search.indexed_top_k(spark, index, x[0].tolist(), 5, "vec_id", probes=1).collect()
+    finally:
+        search.Index.rows = rows
+    assert read[0] == 1 and read[1] < 8
+
+
+def test_top_k_keeps_ties_by_key_across_batches(spark):
+    from folioscope.operators import search
+
+    df = spark.createDataFrame([(k, [1.0, float(k % 2)]) for k in range(40)], "vec_id long, embedding array<double>").repartition(5)
+    assert [r["vec_id"] for r in search.top_k(df, [1.0, 0.0], 6, "vec_id").collect()] == [0, 2, 4, 6, 8, 10]
+
+
+def test_vote_chunks_cut_only_what_does_not_fit(spark):
+    from folioscope.functions import text as T
+    from folioscope.operators import chunking
+    from folioscope.sources.xml import clean
+
+    words = " ".join(f"word{k}. and" if k % 9 == 0 else f"word{k}" for k in range(300))
+    rows = [("v1", "h", "2001-02-03", "c", "t", "short", "", "", ""), ("v2", "s", "2001-02-03", "c", "t", words, "other", "Passed", "hr1-110"), ("v3", "h", None, "c", "t", "", "", "", "")]
+    votes = spark.createDataFrame(rows, "vote_id string, chamber string, date string, category string, type string, question string, subject string, result string, bill_id string")
+    got = sorted(chunking.vote_chunks(votes, 64, 8).collect(), key=lambda r: (r["vote_id"], r["chunk_index"]))
+    prefix = "[Vote v2, Senate, 2001-02-03] c: t"
+    narrative = f"Question: {clean(words)}\nSubject: other\nResult: Passed\nRelated bill: hr1-110"
+    pieces = chunking.sentence_windows(narrative, 56 - chunking.estimated_tokens(len(prefix.split())), 8)
+    want = ["[Vote v1, House, 2001-02-03] c: t Question: short"] + [clean(f"{prefix}\n{p}") for _, p in pieces] + ["[Vote v3, House, ] c: t"]
+    assert [r["text"] for r in got] == want and len(pieces) > 4
+    assert all(r["token_count"] <= 64 for r in got) and T.vote_text
+
+
+def test_pointer_flip_never_leaves_no_pointer(spark, tmp_path):
+    from folioscope.sources import files
+
+    root = f"file://{tmp_path}/state"
+    for name in ("a", "b"):
+        files.write_snapshot(spark.range(3 if name == "a" else 5).toDF("x"), root, name)
+        files.promote(spark, root, name)
+    assert files.current(spark, root).count() == 5
+    # a flip that stopped before its rename leaves the old pointer in force
+    (tmp_path / "state" / "CURRENT.next").write_text("c")
+    assert files.current(spark, root).count() == 5
+    files.promote(spark, root, "a")
+    assert files.current(spark, root).count() == 3
+    with pytest.raises(ValueError):
+        files.promote(spark, root, "missing")
