@@ -47,7 +47,7 @@ def hash_(spark: SparkSession, a) -> int:
 
 
 def chunk(spark: SparkSession, a) -> int:
-    out = documents.process(_bills(spark, a), a.max_tokens, a.overlap, a.min_tokens, a.max_chunks_per_bill, a.tail)
+    out = documents.process(_bills(spark, a), a.max_tokens, a.overlap, a.min_tokens, a.max_chunks_per_bill, a.tail, a.tokenizer)
     counts = out.groupBy("congress", "canonical_bill_id").agg(F.count("*").alias("n_chunks"))
     shards = packing.greedy_shards(counts, "congress", ["canonical_bill_id"], "canonical_bill_id", "n_chunks", a.shard_bills, a.shard_chunks)
     sharded = out.join(shards.drop("n_chunks"), ["congress", "canonical_bill_id"])
@@ -73,8 +73,36 @@ def embed(spark: SparkSession, a) -> int:
     if a.dry_run:
         todo.agg(F.count("*").alias("chunks"), F.sum("tokens").alias("tokens")).show()
         return 0
-    vectors = embedding.embed_rows(todo, "source_hash", "text", embedding.hash_embedder(a.dimensions), a.batch_size)
-    vectors.withColumn("model", F.lit("hash")).write.mode("append").parquet(a.out)
+    rounds = -(-todo.count() // a.checkpoint_every) if a.checkpoint_every > 0 else 1
+    embedding.embed_in_rounds(todo, "source_hash", "text", embedding.hash_embedder(a.dimensions), a.out, rounds, "hash", a.batch_size)
+    return 0
+
+
+def upsert(spark: SparkSession, a) -> int:
+    """Loads embedded chunks into the next snapshot: bills by counts of rows, votes by vote; refuses incomplete ones."""
+    chunks = spark.read.schema(schemas.CHUNK if a.mode == "bills" else schemas.VOTE_CHUNK).option("recursiveFileLookup", True).json(a.root)
+    vectors = spark.read.parquet(a.embeddings).select("source_hash", "embedding")
+    staged = chunks.join(vectors, "source_hash", "left")
+    bad = state.validate_embedded(staged, "source_hash", "embedding", a.dimensions).first().asDict()
+    if any(bad.values()):
+        raise ValueError(f"the staged rows are incomplete: {bad}")
+    staged = rows.chunk_rows(staged, a.model) if a.mode == "bills" else rows.vote_rows(staged, a.model)
+    live = files.current(spark, a.out) if a.has_previous else staged.limit(0)
+    if a.mode == "bills":
+        update = [c for c in staged.columns if c not in ("source_hash", "canonical_bill_id")]
+        new = state.upsert_snapshot(staged, live, "canonical_bill_id", "source_hash", update)
+    else:
+        new = state.replace_by_key(staged, live, "vote_id")
+    if a.dry_run:
+        (state.upsert_by_count(staged, live, "canonical_bill_id").groupBy("strategy").count() if a.mode == "bills" else staged.groupBy("congress").count()).show()
+        return 0
+    files.write_snapshot(new, a.out, a.run_id)
+    written = spark.read.parquet(f"{a.out}/{a.run_id}")
+    totals = written.agg(F.count("*").alias("n"), F.count("embedding").alias("e")).first()
+    state.require_counts(totals["n"], totals["e"], "embeddings of the snapshot")
+    found = written.join(staged.select("source_hash").distinct(), "source_hash", "left_semi").select("source_hash").distinct().count()
+    state.require_counts(staged.select("source_hash").distinct().count(), found, "staged rows in the snapshot")
+    files.promote(spark, a.out, a.run_id)
     return 0
 
 
@@ -89,9 +117,8 @@ def reconcile(spark: SparkSession, a) -> int:
     todo = embedding.pending(desired, actual.select("bill_uid", "source_hash"), ["bill_uid", "source_hash"]).dropDuplicates(["source_hash"])
     new = embedding.embed_rows(todo, "source_hash", "source_hash", embedding.hash_embedder(a.dimensions), 128)
     files.write_snapshot(state.reconcile_apply(desired, actual, new).drop("origin"), a.out, a.run_id, "congress")
-    want = state.manifest_md5(desired.withColumn("_all", F.lit(1)), "_all", "source_hash").first()
-    got = state.manifest_md5(spark.read.parquet(f"{a.out}/{a.run_id}").withColumn("_all", F.lit(1)), "_all", "source_hash").first()
-    if want != got:
+    trees = (state.manifest_tree(d.withColumn("_all", F.lit(1)), "_all", "source_hash") for d in (desired, spark.read.parquet(f"{a.out}/{a.run_id}")))
+    if state.manifest_mismatches(*trees, "_all").limit(1).count():
         raise ValueError("the written snapshot does not match the desired manifest; not promoted")
     files.promote(spark, a.out, a.run_id)
     return 0
@@ -142,9 +169,10 @@ def parser() -> argparse.ArgumentParser:
     size = lambda tokens=512, overlap=64: [("--max-tokens", {"type": int, "default": tokens}), ("--overlap", {"type": int, "default": overlap})]
     dims = ("--dimensions", {"type": int, "default": 1536})
     command("hash", hash_, root, out, congresses, run_id, previous)
-    command("chunk", chunk, root, out, congresses, dry, *size(), ("--min-tokens", {"type": int, "default": 30}), ("--max-chunks-per-bill", {"type": int, "default": 200}), ("--shard-bills", {"type": int, "default": 500}), ("--shard-chunks", {"type": int, "default": 40_000}), ("--bill-ids-file", {}), ("--tail", {"choices": ["clean", "parity"], "default": "clean"}))
+    command("chunk", chunk, root, out, congresses, dry, *size(), ("--min-tokens", {"type": int, "default": 30}), ("--max-chunks-per-bill", {"type": int, "default": 200}), ("--shard-bills", {"type": int, "default": 500}), ("--shard-chunks", {"type": int, "default": 40_000}), ("--bill-ids-file", {}), ("--tokenizer", {}), ("--tail", {"choices": ["clean", "parity"], "default": "clean"}))
     command("votes", votes, root, out, congresses, *size(), ("--shard-size", {"type": int, "default": 2000}))
-    command("embed", embed, root, out, dry, previous, dims, ("--batch-size", {"type": int, "default": 500}))
+    command("embed", embed, root, out, dry, previous, dims, ("--batch-size", {"type": int, "default": 500}), ("--checkpoint-every", {"type": int, "default": 0}))
+    command("upsert", upsert, ("--mode", {"choices": ["bills", "votes"], "default": "bills"}), root, ("--embeddings", {"required": True}), out, run_id, dry, previous, dims, ("--model", {"default": "hash"}))
     command("reconcile", reconcile, ("--desired", {"required": True}), out, run_id, dry, previous, dims, ("--max-delete-frac", {"type": float, "default": 0.2}))
     command("query", query, ("query", {}), ("--bills", {}), ("--votes", {}), ("--index", {"choices": ["bills", "votes", "both"], "default": "both"}), ("--top-k", {"type": int, "default": 5}), ("--congress-min", {"type": int, "default": 0}), ("--congress-max", {"type": int, "default": 999}), ("--snippet-len", {"type": int, "default": 400}), dims)
     command("eval", evaluate, ("--eval-set", {"required": True}), ("--bills", {"required": True}), ("--k", {"type": int, "default": 10}), ("--only-fixtures", {"action": "store_true"}), dims)

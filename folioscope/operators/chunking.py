@@ -73,28 +73,66 @@ def sliding_windows(text: Column, most: int, overlap: int, tail: str = "clean",
     return F.transform(F.array(T.words(F.coalesce(text, F.lit("")))), cut)[0]
 
 
-def _sentence_end(words: list[str]) -> int:
-    """How many of the words to take so that the last full stop of the text's second half ends it; 0 if there is none."""
-    text = " ".join(words)
+class Words:
+    """Units of windows without a tokenizer: words, joined by one space; a text's tokens are estimated from them."""
+
+    encode = staticmethod(str.split)
+    decode = staticmethod(" ".join)
+
+    def count(self, text: str) -> int:
+        return estimated_tokens(len(text.split()))
+
+
+class Library:
+    """Units of windows by a tokenizers file: its token ids, without added ones."""
+
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
+
+        self._library = Tokenizer.from_file(path)
+
+    def encode(self, text: str) -> list[int]:
+        return self._library.encode(text, add_special_tokens=False).ids
+
+    def decode(self, ids: list[int]) -> str:
+        return self._library.decode(ids, skip_special_tokens=False)
+
+    def count(self, text: str) -> int:
+        return max(1, len(self.encode(text)))
+
+
+_CODECS: dict[str, Words | Library] = {"": Words()}
+
+
+def codec(path: str | None = None) -> Words | Library:
+    """The units for a tokenizer's file, loaded once per worker; words where there is none."""
+    if (path or "") not in _CODECS:
+        _CODECS[path] = Library(path)
+    return _CODECS[path or ""]
+
+
+def _to_sentence(part: list, units: Words | Library) -> tuple[str, int]:
+    """The text of some units, cut after the last full stop of its second half if there is one, and how many units it has."""
+    text = units.decode(part)
     stop = text.rfind(". ")
-    return text.count(" ", 0, stop) + 1 if stop > len(text) // 2 else 0
+    if stop <= len(text) // 2:
+        return text, len(part)
+    return text[: stop + 1], max(1, len(units.encode(text[: stop + 1])))
 
 
-def sentence_windows(text: str, most: int, overlap: int, tail: str = "clean") -> list[tuple[int, str]]:
-    """(start, text) of windows of at most ``most`` words, cut back to the end of a sentence where one ends late enough."""
-    w = text.split()
-    if len(w) <= most:
+def sentence_windows(text: str, most: int, overlap: int, tail: str = "clean", units: Words | Library = _CODECS[""]) -> list[tuple[int, str]]:
+    """(start, text) of windows of at most ``most`` units, cut back to the end of a sentence where one ends late enough."""
+    all_units = units.encode(text)
+    if len(all_units) <= most:
         return [(0, text)]
     out, at = [], 0
-    while at < len(w):
-        words = w[at : at + most]
-        if at + most < len(w):
-            words = words[: _sentence_end(words) or most]
-        out.append((at, " ".join(words)))
-        after = at + len(words)
-        if tail == "clean" and after == len(w):
+    while at < len(all_units):
+        part = all_units[at : at + most]
+        piece, n = _to_sentence(part, units) if at + most < len(all_units) else (units.decode(part), len(part))
+        out.append((at, piece.strip()))
+        if tail == "clean" and at + n >= len(all_units):
             return out
-        at = max(at + 1, after - overlap)
+        at += max(1, n - overlap)
     return out
 
 
@@ -115,13 +153,15 @@ def sentence_chunks(df: DataFrame, key: str, text: str, most: int, overlap: int,
     return df.select(key, text).mapInArrow(run, f"{key} {kind}, chunk_index int, text string")
 
 
-def section_chunks(prefix: str, body: str, sub_texts: list[str], most: int, overlap: int, tail: str = "clean", keep_lead: bool = False) -> list[tuple[str, int]]:
+def section_chunks(
+    prefix: str, body: str, sub_texts: list[str], most: int, overlap: int, tail: str = "clean", keep_lead: bool = False, units: Words | Library = _CODECS[""]
+) -> list[tuple[str, int]]:
     """(text, tokens) of one section: whole if it fits; else its subsections packed; else sliding windows.
 
     The first piece carries the prefix; later pieces of a sliding split do not. ``keep_lead`` also packs the text
     before the first subsection, which the reference loses.
     """
-    count = lambda t: estimated_tokens(len(t.split()))
+    count = units.count
     if not body:
         return []
     whole = f"{prefix} {body}"
@@ -131,7 +171,7 @@ def section_chunks(prefix: str, body: str, sub_texts: list[str], most: int, over
     if pieces and keep_lead and (at := body.find(pieces[0])) > 0:
         pieces.insert(0, body[:at].strip())
     if not pieces:
-        return [(p.strip(), count(p)) for _, p in sentence_windows(whole, most, overlap, tail)]
+        return [(p.strip(), count(p)) for _, p in sentence_windows(whole, most, overlap, tail, units)]
     out, now = [], prefix
     for piece in pieces:
         longer = f"{now} {piece}"
@@ -141,7 +181,7 @@ def section_chunks(prefix: str, body: str, sub_texts: list[str], most: int, over
         else:
             now = longer
         if count(now) > most:
-            out += [(p.strip(), count(p)) for _, p in sentence_windows(now, most, overlap, tail)]
+            out += [(p.strip(), count(p)) for _, p in sentence_windows(now, most, overlap, tail, units)]
             now = prefix
     if now != prefix:
         out.append((now.strip(), count(now)))
@@ -151,12 +191,25 @@ def section_chunks(prefix: str, body: str, sub_texts: list[str], most: int, over
 SECTION_CHUNK = "array<struct<chunk_index: int, text: string, tokens: int>>"
 
 
-def section_chunk_udf(most: int, overlap: int, tail: str = "clean"):
-    """``section_chunks`` of (prefix, body, sub_texts) columns over Arrow batches."""
+def token_count_udf(tokenizer: str):
+    """Tokens of a text by a tokenizers file, at least 1, over Arrow batches; ``T.token_count`` estimates them natively."""
+
+    @F.pandas_udf("int")
+    def count(texts: pd.Series) -> pd.Series:
+        units = codec(tokenizer)
+        return pd.Series([units.count(t or "") for t in texts], dtype="int32")
+
+    return count
+
+
+def section_chunk_udf(most: int, overlap: int, tail: str = "clean", tokenizer: str | None = None):
+    """``section_chunks`` of (prefix, body, sub_texts) columns over Arrow batches; tokens by a tokenizer's file, or estimated."""
+
     @F.pandas_udf(SECTION_CHUNK)
     def chunks(prefix: pd.Series, body: pd.Series, subs: pd.Series) -> pd.Series:
+        units = codec(tokenizer)
         return pd.Series([
-            [{"chunk_index": k, "text": t, "tokens": n} for k, (t, n) in enumerate(section_chunks(p, b or "", list(s) if s is not None else [], most, overlap, tail))]
+            [{"chunk_index": k, "text": t, "tokens": n} for k, (t, n) in enumerate(section_chunks(p, b or "", list(s) if s is not None else [], most, overlap, tail, units=units))]
             for p, b, s in zip(prefix, body, subs)
         ])
 

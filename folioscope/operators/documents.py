@@ -67,10 +67,10 @@ def canonical_sections(rows: DataFrame) -> DataFrame:
     return first.select("section_text_hash", "s.*").join(docs, "section_text_hash")
 
 
-def chunks(canonical: DataFrame, most: int = 512, overlap: int = 64, tail: str = "clean") -> DataFrame:
+def chunks(canonical: DataFrame, most: int = 512, overlap: int = 64, tail: str = "clean", tokenizer: str | None = None) -> DataFrame:
     """One row per chunk, with its source hash."""
     prefix = T.chunk_prefix(F.col("type"), F.col("number"), F.col("congress"), F.col("section_enum"), F.col("section_header"))
-    rows = canonical.withColumn("c", F.explode(chunking.section_chunk_udf(most, overlap, tail)(prefix, F.col("section_body"), F.col("sub_texts"))))
+    rows = canonical.withColumn("c", F.explode(chunking.section_chunk_udf(most, overlap, tail, tokenizer)(prefix, F.col("section_body"), F.col("sub_texts"))))
     out = rows.select(
         "bill_id", F.col("bill_id").alias("canonical_bill_id"), "congress", "type", "number", "short_title", "version", "status", "section_enum", "section_header",
         "c.chunk_index", "c.text", "c.tokens", "document_text_hash", "section_text_hash",
@@ -84,10 +84,10 @@ def with_source_hash(rows: DataFrame, include_text: bool = False) -> DataFrame:
     return rows.withColumn("source_hash", T.source_hash(*parts, *([F.col("text")] if include_text else [])))
 
 
-def process(joined: DataFrame, most: int = 512, overlap: int = 64, min_tokens: int = 30, cap: int = 200, tail: str = "clean") -> DataFrame:
+def process(joined: DataFrame, most: int = 512, overlap: int = 64, min_tokens: int = 30, cap: int = 200, tail: str = "clean", tokenizer: str | None = None) -> DataFrame:
     """The whole chunk stage of one or more congresses; deduplication spans all rows that are given."""
     docs = load(joined)
-    rows = chunks(canonical_sections(sections(canonical_documents(docs), document_aliases(docs))), most, overlap, tail)
+    rows = chunks(canonical_sections(sections(canonical_documents(docs), document_aliases(docs))), most, overlap, tail, tokenizer)
     section = ["section_text_hash", "section_enum", "section_header"]
     kept = chunking.capped(chunking.at_least(rows, min_tokens), "canonical_bill_id", section, cap)
     return with_source_hash(chunking.renumbered(kept, "canonical_bill_id", section))

@@ -130,6 +130,18 @@ def manifest_tree(df: DataFrame, key: str, digest: str, digits: int = 2) -> Data
     return df.groupBy(key, F.substring(digest, 1, digits).alias("part")).agg(F.count("*").alias("n"), F.sum(bits).cast("decimal(38,0)").alias("hash_sum"))
 
 
+def manifest_mismatches(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """(key, part) of the parts in which two trees differ."""
+    x, y = (t.select(key, "part", F.struct("n", "hash_sum").alias(n)) for t, n in ((a, "_a"), (b, "_b")))
+    return x.join(y, [key, "part"], "full_outer").where(~F.col("_a").eqNullSafe(F.col("_b"))).select(key, "part")
+
+
+def require_counts(expected: int, found: int, what: str) -> None:
+    """Refuses a load whose numbers of rows do not agree."""
+    if expected != found:
+        raise ValueError(f"{what}: {expected} rows expected, {found} found")
+
+
 def latest(events: DataFrame, key: str, order: list[str], names: list[str]) -> DataFrame:
     """The last row of each key: audit states are appended, never updated."""
     last = F.max_by(F.struct(*names), F.struct(*order)).alias("_l")

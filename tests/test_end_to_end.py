@@ -59,6 +59,13 @@ def test_commands(spark, root, tmp_path, capsys):
     assert cli.main(["embed", "--root", f"{t}/chunks", "--out", f"{t}/vectors", "--dimensions", "8"]) == 0
     assert cli.main(["embed", "--root", f"{t}/chunks", "--out", f"{t}/vectors", "--dimensions", "8", "--has-previous"]) == 0
     assert spark.read.parquet(f"{t}/vectors").count() == n
+    load = ["upsert", "--root", f"{t}/chunks", "--embeddings", f"{t}/vectors", "--out", f"{t}/loaded", "--dimensions", "8"]
+    assert cli.main([*load, "--run-id", "u1", "--dry-run"]) == 0 and "replace" in capsys.readouterr().out
+    assert cli.main([*load, "--run-id", "u1"]) == 0 and cli.main([*load, "--run-id", "u2", "--has-previous"]) == 0
+    loaded = files.current(spark, f"{t}/loaded")
+    assert loaded.count() == n and loaded.where("size(embedding) = 8 and model = 'hash'").count() == n
+    with pytest.raises(ValueError, match="incomplete"):
+        cli.main([*load[:-1], "9", "--run-id", "u3"])
     chunks = [json.loads(x) for x in spark.read.option("recursiveFileLookup", True).text(f"{t}/chunks").toPandas()["value"]]
     for c in chunks:
         c["congress"] = 119
@@ -141,3 +148,73 @@ def test_hits_within_groups_and_details(spark):
     assert not rows.table_exists(spark, "no_such_table")
     unified = rows.hits(top.withColumn("congress", F.lit(119)), "bill").unionByName(rows.hits(top.withColumn("vote_id", F.lit("v")), "vote"))
     assert {(r["source_kind"], r["congress"], r["vote_id"]) for r in unified.collect()} == {("bill", 119, ""), ("vote", 0, "v")}
+
+
+def test_errors_are_classified():
+    for said, kind in (
+        ("HTTP 429", embedding.Retryable), ("Rate limit reached", embedding.Retryable), ("Connection reset by peer", embedding.Retryable), ("max_tokens_per_request", embedding.TooLarge),
+        ("Requested 400000 tokens, max 300000", embedding.TooLarge), ("bad key", RuntimeError),
+    ):
+        assert type(embedding.classified(RuntimeError(said))) is kind
+    assert type(embedding.classified(TimeoutError("x"))) is embedding.Retryable
+    calls = []
+
+    def embed(texts):
+        calls.append(len(texts))
+        if len(texts) > 2:
+            raise RuntimeError("max tokens per request")
+        if len(calls) == 3:
+            raise ConnectionError("connection error")
+        return [[1.0]] * len(texts)
+
+    assert embedding.embed_batch(embedding.checked(embed), list("abcd"), wait=0) == [[1.0]] * 4
+    assert embedding.query_vector("q", lambda: lambda texts: [[float(len(texts[0]))]], "search: ") == [9.0]
+
+
+def test_embedding_in_rounds_can_be_repeated(spark, tmp_path):
+    out = f"file://{tmp_path}/v"
+    todo = spark.createDataFrame([(f"h{k}", "t") for k in range(40)], "source_hash string, text string")
+    done = []
+
+    def make():
+        return lambda texts: [[1.0]] * len(texts)
+
+    embedding.embed_in_rounds(todo.where("source_hash < 'h2'"), "source_hash", "text", make, out, 3, "m")
+    have = spark.read.parquet(out)
+    done.append(have.count())
+    embedding.embed_in_rounds(embedding.pending(todo, have, ["source_hash"]), "source_hash", "text", make, out, 2, "m")
+    rows_ = spark.read.parquet(out).collect()
+    assert 0 < done[0] < 40 and len(rows_) == 40 and len({r["source_hash"] for r in rows_}) == 40
+
+
+def test_tokens_of_a_library_file(spark):
+    pytest.importorskip("public_tokenizers")
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from folioscope.operators import chunking
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    size = lambda t: max(1, len(library.encode(t, add_special_tokens=False).ids))
+    texts = ["", "Hello, wörld. " * 40, "a  b\n\nc", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(chunking.token_count_udf(path)("t").alias("n")).collect()
+    assert [r["n"] for r in got] == [size(t or "") for t in texts]
+    body = " ".join(f"Sentence number {k} is here." for k in range(60))
+    df = spark.createDataFrame([("[P]", body, []), ("[P]", body, [" ".join(body.split()[k : k + 70]) for k in range(0, 300, 70)]), ("[P]", "short", [])], "p string, b string, s array<string>")
+    for r, b in zip(df.select(chunking.section_chunk_udf(100, 10, tokenizer=path)("p", "b", "s").alias("c")).collect(), (body, body, "short")):
+        pieces = [x["text"] for x in r["c"]]
+        assert all(x["tokens"] == size(x["text"]) <= 101 for x in r["c"]) and pieces[0].startswith("[P]")
+        assert all(w in " ".join(pieces) for w in b.split())
+    windows = chunking.sentence_windows(body, 100, 10, units=chunking.codec(path))
+    assert all(w.endswith(".") for _, w in windows) and len(windows) > 3
+
+
+def test_a_tree_shows_where_manifests_differ(spark):
+    a = spark.createDataFrame([("c", f"{k:02x}" + "0" * 62) for k in range(20)], "k string, h string")
+    b = a.where("h not like '05%'").union(spark.createDataFrame([("c", "07" + "1" * 62), ("d", "00" * 32)], "k string, h string"))
+    trees = [state.manifest_tree(x, "k", "h") for x in (a, b)]
+    assert {tuple(r) for r in state.manifest_mismatches(*trees, "k").collect()} == {("c", "05"), ("c", "07"), ("d", "00")}
+    assert state.manifest_mismatches(trees[0], trees[0], "k").count() == 0
+    with pytest.raises(ValueError):
+        state.require_counts(1, 2, "x")
