@@ -185,7 +185,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors share: in spark.checkpoint.dir, or, where that is unset, under the warehouse."""
+    """A new folder that all executors share, in spark.checkpoint.dir; where that is unset, a local session's temporary one."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
