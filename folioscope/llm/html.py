@@ -59,6 +59,7 @@ _COMMENT = re.compile(r"(?:comment\w*|disqus\w*|replies|respond|reply)")
 _LAYOUT = re.compile(
     r"(?:menu\w*|nav\w*|breadcrumb\w*|sidebar\w*|side|widget\w*|footer\w*|foot|header\w*|masthead|toolbar|related\w*|recommend\w*|copyright|legal|disclaimer|tags?)"
 )
+_STEMS = "menu nav breadcrumb side widget foot header masthead toolbar related recommend copyright legal disclaimer tag".split()
 _MAIN = frozenset("article content entry hentry hfeed main page post story text blog body".split())
 _STATE_FIRST = frozenset("with has have no not without is are hide show js can if enable enabled disable disabled page template layout theme".split())
 _STATE_LAST = frozenset("open opened closed enabled disabled active inactive visible on off true false image img photo bg background layout template width free accepted dismissed allowed".split())
@@ -93,7 +94,7 @@ def suspicion(name: str) -> str:
             if _AD.fullmatch(w):
                 found = found or (_AD_LEVEL if plain else _GONE_LEVEL)
             elif not found and _LAYOUT.fullmatch(w):
-                found = re.sub(r"s$", "", w)
+                found = next(s for s in _STEMS if w.startswith(s))
     return found
 
 
@@ -237,11 +238,13 @@ def _prune(root: Node) -> None:
         whole[id(node)] = max(inner, own) if node.tag in ("article", "main") and not node.suspect else inner
     total = prose[id(root)]
     of_name: dict[str, int] = {}
+    within: dict[int, frozenset[str]] = {}
     for node in order:  # parents first: an element inside one of the same suspicion counts with it
-        up = node.parent
-        held = up.suspect if up is not None and up.suspect else ""
-        if node.suspect and node.suspect != held:
+        held = within[id(node.parent)] if node.parent is not None else frozenset()
+        if node.suspect and node.suspect not in held:
             of_name[node.suspect] = of_name.get(node.suspect, 0) + prose[id(node)]
+            held = held | {node.suspect}
+        within[id(node)] = held
     stack = [root]
     while stack:
         node = stack.pop()

@@ -80,6 +80,12 @@ def test_unwanted_names_go(name):
     assert html.extract(page(main.replace("</div>", junk + "</div>"))) == want
 
 
+def test_nested_layout_counts_once():
+    main = "<div class=content>" + f"<p>{PROSE}</p>" * 5 + "</div>"
+    side = "<div class=sidebar><div><div class=sidebar-inner><div><div class=side>" + f"<p>{PROSE} aside</p>" * 4 + "</div></div></div></div></div>"
+    assert html.extract(page(main, side)) == "\n".join([PROSE] * 5)
+
+
 def test_comments_longer_than_the_article_go():
     main = f"<article class='post'><p>{PROSE}</p><p>{PROSE}</p></article>"
     comments = "<div id=comments>" + f"<article class=comment-body><p>{PROSE} says a reader</p></article>" * 40 + "</div>"
