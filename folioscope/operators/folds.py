@@ -3,15 +3,18 @@
 ``number_within`` gives row numbers without a window over a whole group: rows are range-partitioned over all executors,
 numbered within partitions, and offset by the counts before. ``ordered_fold`` streams the sorted rows of each key
 through a Python fold, for logic that carries state from row to row; a task holds one batch and the state.
+``greedy_segments`` cuts each key's rows greedily, in parallel within a key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -79,3 +82,103 @@ def ordered_fold(df: DataFrame, key: str, order: list[str], make: Callable[[], C
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rest], arrow.field(k).type) for k in range(len(names))], schema=arrow)
 
     return df.repartition(key).sortWithinPartitions(key, *order).mapInArrow(run, schema)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Table]:
+    """Consecutive rows that agree in their first ``n`` columns, as tables."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    for batch in batches:
+        keys = list(zip(*(batch.column(k).to_pylist() for k in range(n))))
+        at = 0
+        for k in range(1, len(keys) + 1):
+            if k < len(keys) and keys[k] == keys[at]:
+                continue
+            if held and now != keys[at]:
+                yield pa.Table.from_batches(held)
+                held = []
+            now = keys[at]
+            held.append(batch.slice(at, k - at))
+            at = k
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _next_starts(amounts: np.ndarray, n: int, most_rows: int, most: int) -> np.ndarray:
+    """For each of the first ``n`` rows, where the next segment begins if one begins there."""
+    i = np.arange(n)
+    total = np.concatenate([[0], np.cumsum(amounts)])
+    to = np.searchsorted(total, total[:n] + most, "right") - 1 if most > 0 else np.full(n, len(amounts))
+    return np.minimum(np.maximum(to, i + 1), np.minimum(i + most_rows, len(amounts)))
+
+
+def greedy_segments(df: DataFrame, key: str, order: list[str], amount: str, most_rows: int, most: int, name: str, width: int = 100_000) -> DataFrame:
+    """Adds ``name``, the number of each row's segment in its key: a segment ends at ``most_rows`` rows, or where the next row
+    would bring its amounts over ``most`` (0: no such limit); a row that is over by itself is a segment.
+
+    Rows are numbered and cut into ranges of ``width``; a task takes a range, and the first ``most_rows`` rows of the next one,
+    and finds for each possible first start the start at which its chain of segments leaves the range. These few entries are
+    chained in order, one per range and possible start, and a second pass numbers the rows of each range from its true entry.
+    Amounts must not be negative; ``order`` must not leave ties. Nulls count as 0.
+    """
+    if most_rows <= 0:
+        raise ValueError("most_rows must be above 0")
+    width = max(width, most_rows)
+    numbered = number_within(df, [key], order, "_rn").withColumn("_part", F.expr(f"(_rn - 1) div {width}"))
+    ahead = numbered.where((F.col("_part") > 0) & ((F.col("_rn") - 1) % width < most_rows)).withColumn("_part", F.col("_part") - 1)
+    narrow = numbered.union(ahead).select(key, "_part", "_rn", F.coalesce(F.col(amount), F.lit(0)).cast("long").alias("_n"))
+    ranges = narrow.repartition(key, "_part").sortWithinPartitions(key, "_part", "_rn")
+    kind = df.schema[key].dataType
+    long = lambda *names: StructType([StructField(key, kind), *(StructField(n, LongType()) for n in names)])
+
+    def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in _groups(batches, 2):
+            part, rn, amounts = g["_part"][0].as_py(), g["_rn"].to_numpy(), g["_n"].to_numpy()
+            base = part * width
+            n = int(np.searchsorted(rn, base + width, "right"))
+            to = _next_starts(amounts, n, most_rows, most).tolist()
+            leave, count = list(to), [1] * n
+            for i in range(n - 1, -1, -1):
+                if to[i] < n:
+                    leave[i], count[i] = leave[to[i]], count[to[i]] + 1
+            m = 1 if part == 0 else min(n, most_rows)
+            # a first row for the range itself, then its possible entries
+            entry, to = np.append(-1, base + 1 + np.arange(m)), np.append(0, base + 1 + np.array(leave[:m], np.int64))
+            columns = [np.full(m + 1, part), entry, to, np.append(0, count[:m])]
+            same = g[key].combine_chunks().take(pa.array(np.zeros(m + 1, np.int64)))
+            yield pa.RecordBatch.from_arrays([same, *map(pa.array, columns)], names=[key, "_part", "_entry", "_exit", "_count"])
+
+    def make():
+        at = {"start": 1, "done": 0}
+
+        def step(row: tuple) -> list[tuple]:
+            _, part, entry, leave, count = row
+            if entry == at["start"]:
+                at.update(start=leave, done=at["done"] + count)
+            return [(part, at["start"], at["done"] + 1)] if entry < 0 else []
+
+        return step
+
+    entries = ranges.mapInArrow(chains, long("_part", "_entry", "_exit", "_count"))
+    kinds = f"{key} {dict(df.dtypes)[key]}, _part long, _entry long, _first long"
+    chosen = materialized(ordered_fold(entries, key, ["_part", "_entry"], make, kinds))  # a row per range
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in _groups(batches, 2):
+            part, rn = g["_part"][0].as_py(), g["_rn"].to_numpy()
+            base = part * width
+            n = int(np.searchsorted(rn, base + width, "right"))
+            to = _next_starts(g["_n"].to_numpy(), n, most_rows, most).tolist()
+            # the range's first start, which may lie beyond its end
+            starts, at = np.zeros(n, np.int64), g["_entry"][0].as_py() - base - 1
+            while at < n:
+                starts[at] = 1
+                at = to[at]
+            number = g["_first"][0].as_py() - 1 + np.cumsum(starts)
+            yield pa.RecordBatch.from_arrays([g[key].slice(0, n).combine_chunks(), pa.array(rn[:n]), pa.array(number)], names=[key, "_rn", name])
+
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"e.{c}")) for c in (key, "_part")]
+    joined = narrow.alias("r").join(chosen.alias("e"), same[0] & same[1]).select(f"r.{key}", "r._part", "r._rn", "r._n", "e._entry", "e._first")
+    segments = joined.repartition(key, "_part").sortWithinPartitions(key, "_part", "_rn").mapInArrow(number, long("_rn", name))
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (key, "_rn")]
+    return numbered.alias("l").join(segments.alias("s"), same[0] & same[1]).select(*(f"l.{c}" for c in df.columns), f"s.{name}")

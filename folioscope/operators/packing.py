@@ -18,25 +18,24 @@ def fixed_shards(df: DataFrame, keys: list[str], order: list[str], size: int) ->
 
 def greedy_shards(counts: DataFrame, key: str, order: list[str], bill: str, chunks: str, most_bills: int = 500, most_chunks: int = 40_000) -> DataFrame:
     """(key, bill, chunks, shard_id): bills in order, never split; a shard ends at ``most_bills``, or where the next bill
-    would bring it over ``most_chunks``. One narrow row per bill is streamed; nothing is gathered."""
+    would bring it over ``most_chunks``. Parallel within a key; without a limit of bills, its rows are one stream."""
+    narrow = counts.select(key, bill, chunks, *[c for c in order if c not in (key, bill, chunks)])
+    if most_bills > 0:
+        return folds.greedy_segments(narrow, key, order, chunks, most_bills, most_chunks, "shard_id").select(key, bill, chunks, "shard_id")
 
     def make():
-        state = {"shard": 1, "bills": 0, "chunks": 0}
+        state = {"shard": 1, "chunks": None}
 
         def step(row: tuple) -> list[tuple]:
             _, b, n = row[:3]
-            full = most_bills > 0 and state["bills"] >= most_bills
-            over = most_chunks > 0 and state["bills"] > 0 and state["chunks"] + n > most_chunks
-            if full or over:
-                state.update(shard=state["shard"] + 1, bills=0, chunks=0)
-            state["bills"] += 1
-            state["chunks"] += n
+            if state["chunks"] is not None and 0 < most_chunks < state["chunks"] + n:
+                state.update(shard=state["shard"] + 1, chunks=None)
+            state["chunks"] = (state["chunks"] or 0) + n
             return [(b, n, state["shard"])]
 
         return step
 
     types = dict(counts.dtypes)
-    narrow = counts.select(key, bill, chunks, *[c for c in order if c not in (key, bill, chunks)])
     return folds.ordered_fold(narrow, key, order, make, f"{key} {types[key]}, {bill} {types[bill]}, {chunks} {types[chunks]}, shard_id long")
 
 
@@ -44,25 +43,10 @@ def pack_batches(rows: DataFrame, key: str, order: list[str], item: str, tokens:
     """(key, item, tokens, batch_id): next-fit batches under a count and a token limit; a larger single item is an error."""
     if most_items <= 0 or most_tokens <= 0:
         raise ValueError("limits must be above 0")
-
-    def make():
-        state = {"batch": 1, "items": 0, "tokens": 0}
-
-        def step(row: tuple) -> list[tuple]:
-            _, i, n = row[:3]
-            if n > most_tokens:
-                raise ValueError(f"item {i} has {n} tokens, over the limit of {most_tokens} a request")
-            if state["items"] and (state["items"] >= most_items or state["tokens"] + n > most_tokens):
-                state.update(batch=state["batch"] + 1, items=0, tokens=0)
-            state["items"] += 1
-            state["tokens"] += n
-            return [(i, n, state["batch"])]
-
-        return step
-
-    types = dict(rows.dtypes)
     narrow = rows.select(key, item, tokens, *[c for c in order if c not in (key, item, tokens)])
-    return folds.ordered_fold(narrow, key, order, make, f"{key} {types[key]}, {item} {types[item]}, {tokens} {types[tokens]}, batch_id long")
+    said = F.concat(F.lit("item "), F.col(item).cast("string"), F.lit(" has "), F.col(tokens).cast("string"), F.lit(f" tokens, over the limit of {most_tokens} a request"))
+    narrow = narrow.withColumn(tokens, F.when(F.col(tokens) > most_tokens, F.raise_error(said)).otherwise(F.col(tokens)))
+    return folds.greedy_segments(narrow, key, order, tokens, most_items, most_tokens, "batch_id").select(key, item, tokens, "batch_id")
 
 
 def shard_manifest(shards: DataFrame, keys: list[str], bill: str, chunks: str, bill_order: list[str]) -> DataFrame:

@@ -270,3 +270,21 @@ def test_pointer_flip_never_leaves_no_pointer(spark, tmp_path):
     assert files.current(spark, root).count() == 3
     with pytest.raises(ValueError):
         files.promote(spark, root, "missing")
+
+
+def test_greedy_segments_against_a_loop(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice(["hot"] * 6 + ["b", None]), k, rng.choice([0, 1, 5, 9, 30, None])) for k in range(900)]
+    df = spark.createDataFrame(rows, "c string, k int, n int").repartition(5)
+    for most_rows, most, width in ((7, 40, 10), (4, 0, 4), (25, 25, 50), (1, 9, 3), (500, 100, 1)):
+        got = {(r["c"], r["k"]): r["s"] for r in folds.greedy_segments(df, "c", ["k"], "n", most_rows, most, "s", width).collect()}
+        want = {}
+        for c in ("hot", "b", None):
+            now, items, total = 1, 0, 0
+            for _, k, n in sorted((r for r in rows if r[0] == c), key=lambda r: r[1]):
+                if items and (items >= most_rows or 0 < most < total + (n or 0)):
+                    now, items, total = now + 1, 0, 0
+                items, total = items + 1, total + (n or 0)
+                want[c, k] = now
+        assert got == want, (most_rows, most, width)
+    assert folds.greedy_segments(df.limit(0), "c", ["k"], "n", 3, 9, "s").count() == 0
