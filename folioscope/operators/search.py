@@ -8,6 +8,7 @@ vectors into cells, so that a search reads few of them: see ``build_index``.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -106,12 +107,17 @@ def ranked_hits(hits: DataFrame, order: list[Column], name: str = "rank") -> Dat
     return hits.withColumn(name, (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)) - 1).cast("bigint"))
 
 
-def keyword_top_k(df: DataFrame, terms: list[str], k: int, key: str, words: Column) -> DataFrame:
-    """Documents by distinct terms matched, then occurrences: our own scorer, as the reference's is not shipped."""
-    def count(w: Column) -> Column:
-        return F.struct(sum((F.array_contains(w, t).cast("int") for t in terms), F.lit(0)).alias("t"), F.size(F.filter(w, lambda x: x.isin(*terms))).cast("bigint").alias("h"))
+def keyword_top_k(df: DataFrame, terms: list[str], k: int, key: str, text: Column) -> DataFrame:
+    """Documents by distinct terms matched, then occurrences: our own scorer, as the reference's is not shipped.
 
-    rows = df.select(key, T.let(words, count).alias("_c")).select(key, F.col("_c.t").alias("n_terms"), F.col("_c.h").alias("n_hits"))
+    A term counts where it is a whole word of ``text``, which has its case folded by the caller. One pass finds the terms
+    alone: white space is looked for only around what has matched.
+    """
+    other = T.SPACE.replace("[", "[^", 1)
+    words = "|".join(f"{q}(?<!{other}{q})(?!{other})" for q in map(re.escape, sorted(terms, key=len, reverse=True)))
+    found = F.regexp_extract_all(text, F.lit(f"(?U)({words})"), 1)
+    count = lambda f: F.struct(F.size(F.array_distinct(f)).alias("t"), F.size(f).cast("bigint").alias("h"))
+    rows = df.select(key, T.let(found, count).alias("_c")).select(key, F.col("_c.t").alias("n_terms"), F.col("_c.h").alias("n_hits"))
     return rows.orderBy(F.desc("n_terms"), F.desc("n_hits"), key).limit(k).where("n_hits > 0")
 
 

@@ -611,7 +611,7 @@ _KEYWORD = f"""kw AS (
 
 
 def _keyword(spark, sf_dir, k: int) -> DataFrame:
-    return search.keyword_top_k(_docs(spark, sf_dir), _TERMS, k, "doc_id", T.words(F.lower("text")))
+    return search.keyword_top_k(_docs(spark, sf_dir), _TERMS, k, "doc_id", F.lower("text"))
 
 
 @query(f"WITH {_KEYWORD} SELECT doc_id, n_terms, n_hits FROM kw WHERE n_hits > 0 ORDER BY n_terms DESC, n_hits DESC, doc_id LIMIT 50")
