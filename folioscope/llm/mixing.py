@@ -71,12 +71,12 @@ def _before(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> Data
 
 def targets(sizes: DataFrame, percent: int = 150, weights: tuple[int, ...] = WEIGHTS, most_copies: int = MOST) -> DataFrame:
     """``sizes`` (source, sk, source_size: one row per source) with its target."""
-    total = sizes.agg(F.sum("source_size")).first()[0] or 0
+    n, total = sizes.agg(F.count("*"), F.coalesce(F.sum("source_size"), F.lit(0))).first()
+    all_weights = n // len(weights) * sum(weights) + sum(weights[: n % len(weights)])
     numbered = _before(sizes, [F.col("source").asc_nulls_last()], {"nth": F.lit(1)})
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("nth") % len(weights) + 1).cast("int"))
     out = numbered.withColumn("w", weight.cast("bigint")).withColumn("cap", F.col("source_size") * most_copies).withColumn("ratio", F.col("cap") / F.col("w"))
     out = scan.checkpointed(_before(out, [F.col("ratio"), F.col("source").asc_nulls_last()], {"full": F.col("cap"), "used": F.col("w")}))
-    all_weights = out.agg(F.sum("w")).first()[0] or 0
     level = (F.lit(float(total * percent) / 100) - F.col("full")) / (F.lit(all_weights) - F.col("used"))
     first = out.withColumn("level", level).where("level <= ratio").agg(F.min_by("level", F.struct("ratio", F.col("source").isNull(), "source"))).first()[0]
     cap = F.col("cap").cast("double")
@@ -103,7 +103,7 @@ def plan(docs: DataFrame, percent: int = 150, weights: tuple[int, ...] = WEIGHTS
     bins = scan.checkpointed(sized.groupBy("sk", "w").agg(F.first("source").alias("source"), F.sum("size").alias("words"), F.count("*").alias("n_docs")))
     sizes = bins.groupBy("sk").agg(F.first("source").alias("source"), F.sum("words").alias("source_size"), F.sum("n_docs").alias("n_docs"))
     goal = scan.checkpointed(targets(scan.checkpointed(sizes), percent, weights))
-    n, total = goal.count(), goal.agg(F.sum("n_docs")).first()[0] or 0
+    n, total = goal.agg(F.count("*"), F.coalesce(F.sum("n_docs"), F.lit(0))).first()
     # water filling within the source: from the greatest weight on, documents are at the most, until lambda * w is below it
     mass = F.col("words").cast("decimal(20,0)") * F.col("w").cast("decimal(17,0)")
     down = Window.partitionBy("sk").orderBy(F.desc("w"))

@@ -95,3 +95,11 @@ def test_own_weights(spark):
     assert all(got[k] == 0 for k in got if k % 5 < 3)
     assert sum(got[k] for k in got if k % 5 == 4) > 2 * sum(got[k] for k in got if k % 5 == 3)
     assert mixing.mixed_documents(docs, 30, weight=docs["quality"]).count() == sum(got.values())
+
+
+def test_more_sources_than_are_broadcast(spark, monkeypatch):
+    docs = documents(spark)
+    want = sorted(map(str, mixing.mix(docs).collect()))
+    copies = mixing.mixed_documents(docs).count()
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 0)
+    assert sorted(map(str, mixing.mix(docs).collect())) == want and mixing.mixed_documents(docs).count() == copies
