@@ -7,7 +7,6 @@ prefix sums), so that no Python object is made per word.
 
 from __future__ import annotations
 
-import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -15,15 +14,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.batches import small_batches, trim
+
 _U = np.uint64
 _MULT = _U(0x9E3779B97F4A7C15 | 1)
 _INV = _U(pow(int(_MULT), -1, 1 << 64))
 _TABLE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 64, 256, dtype=np.uint64)
 _LEN = _U(0xD6E8FEB86659FD93)
-try:
-    _TRIM = ctypes.CDLL("libc.so.6").malloc_trim
-except (OSError, AttributeError):  # another C library
-    _TRIM = None
 
 #: `[^\x20\x09-\x0D]`: everything but ASCII white space.
 NONSPACE = np.ones(256, bool)
@@ -156,21 +153,6 @@ def per_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return c[bounds[1:]] - c[bounds[:-1]]
 
 
-def trim() -> None:
-    """Gives freed memory back to the system: workers live on, and an executor's memory is shared by all of them."""
-    pa.default_memory_pool().release_unused()
-    if _TRIM:
-        _TRIM(0)
-
-
-def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
-    """Lowers the session's bound on the bytes of an Arrow batch: texts stand in memory on both sides of the pipe."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = spark.conf.get(key)
-    if not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= most:
-        spark.conf.set(key, str(most))
-
-
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``mapInArrow`` for a function of one batch."""
 

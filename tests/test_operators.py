@@ -288,3 +288,24 @@ def test_greedy_segments_against_a_loop(spark):
                 want[c, k] = now
         assert got == want, (most_rows, most, width)
     assert folds.greedy_segments(df.limit(0), "c", ["k"], "n", 3, 9, "s").count() == 0
+
+
+VOTE = "vote_id string, chamber string, date string, category string, type string, question string, subject string, result string, bill_id string"
+
+
+def test_vote_chunks_do_not_multiply_unused_columns(spark):
+    # 586 pieces of each of 36 votes: with the question beside each piece, 2.5 GB in one batch
+    question = F.repeat(F.lit("word "), 24_000)
+    text = {"chamber": "h", "date": "2001-02-03", "category": "c", "type": "t", "subject": "", "result": "", "bill_id": ""}
+    votes = spark.range(0, 36, 1, 1).select(F.concat(F.lit("v"), "id").alias("vote_id"), question.alias("question"), *(F.lit(v).alias(k) for k, v in text.items()))
+    got = chunking.vote_chunks(votes, 64, 8).groupBy("vote_id").agg(F.count("*").alias("n"), F.max("chunk_index").alias("last"), F.sum("token_count").alias("tokens")).collect()
+    pieces = chunking.sentence_windows("Question: " + "word " * 24_000, 56 - chunking.estimated_tokens(6), 8)
+    assert len(got) == 36 and {(r["n"], r["last"] + 1) for r in got} == {(len(pieces), len(pieces))}
+    assert {r["tokens"] for r in got} == {sum(chunking.estimated_tokens(6 + len(p.split())) for _, p in pieces)}
+
+
+def test_vote_chunks_keep_the_votes_columns(spark):
+    rows = [("v1", "h", "2001-02-03", "c", "t", "word " * 200, None, "Passed", "hr1-110"), ("v2", "s", None, None, None, "short", "s", None, None), ("v3", None, None, None, None, None, None, None, None)]
+    got = chunking.vote_chunks(spark.createDataFrame(rows, VOTE), 64, 8).orderBy("vote_id", "chunk_index").collect()
+    assert [r["chunk_index"] for r in got] == [*range(len(got) - 2), 0, 0] and len(got) > 5
+    assert {tuple(r)[:9] for r in got} == set(rows) and all(r["text"] == " ".join(r["text"].split()) for r in got)
