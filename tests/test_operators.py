@@ -309,3 +309,24 @@ def test_vote_chunks_keep_the_votes_columns(spark):
     got = chunking.vote_chunks(spark.createDataFrame(rows, VOTE), 64, 8).orderBy("vote_id", "chunk_index").collect()
     assert [r["chunk_index"] for r in got] == [*range(len(got) - 2), 0, 0] and len(got) > 5
     assert {tuple(r)[:9] for r in got} == set(rows) and all(r["text"] == " ".join(r["text"].split()) for r in got)
+
+
+LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def test_section_chunks_run_in_bounded_batches(spark):
+    import pyarrow as pa
+
+    spark.conf.set(LIMIT, str((1 << 31) - 1))
+    bodies = spark.range(0, 4000, 1, 1).select("id", F.repeat(F.concat("id", F.lit(" word ")), 400).alias("b"))
+    c = chunking.section_chunk_udf(100, 16)(F.lit("[p]"), "b", F.array(F.substring("b", 1, 1000), F.substring("b", 1001, 9000)))
+    got = bodies.select("id", F.explode(c).alias("c")).select("id", "c.*").where("id % 1000 = 7").collect()
+    b = {k: f"{k} word " * 400 for k in (7, 1007, 2007, 3007)}
+    want = [(k, i, t, n) for k, x in b.items() for i, (t, n) in enumerate(chunking.section_chunks("[p]", x, [x[:1000], x[1000:10000]], 100, 16))]
+    assert sorted(map(tuple, got)) == want and len(want) > 20
+
+    @F.arrow_udf("long")
+    def size(x: pa.Array) -> pa.Array:
+        return pa.array([x.nbytes] * len(x))
+
+    assert bodies.select(size("b").alias("n")).agg(F.max("n")).first()[0] < 5 << 20  # 16 MB of bodies in all
