@@ -330,3 +330,21 @@ def test_section_chunks_run_in_bounded_batches(spark):
         return pa.array([x.nbytes] * len(x))
 
     assert bodies.select(size("b").alias("n")).agg(F.max("n")).first()[0] < 5 << 20  # 16 MB of bodies in all
+
+
+def test_sentence_chunks_run_in_bounded_batches(spark):
+    import pyarrow as pa
+
+    texts = [None, "", "short", *(f"Sentence {k} is here. " * 300 for k in range(400))]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["k", "t"])
+    made = list(chunking._sentence_batches(iter([batch, batch.slice(0, 0), batch.slice(0, 3)]), 128, 16, "clean", ["k", "chunk_index", "text"]))
+    want = [(k, i, p) for k, t in [*enumerate(texts), *enumerate(texts[:3])] for i, (_, p) in enumerate(chunking.sentence_windows(t or "", 128, 16))]
+    assert [r for b in made for r in zip(*(c.to_pylist() for c in b.columns))] == want
+    assert len(made) > 3 and max(b.nbytes for b in made) < 3 << 19
+
+    spark.conf.set(LIMIT, str((1 << 31) - 1))
+    rows = spark.range(0, 3000, 1, 1).select("id", F.repeat(F.concat("id", F.lit(" word. ")), 600).alias("t"))
+    got = chunking.sentence_chunks(rows, "id", "t", 128, 16)
+    assert int(spark.conf.get(LIMIT).rstrip("b")) <= 4 << 20
+    n = {k: len(chunking.sentence_windows(f"{k} word. " * 600, 128, 16)) for k in (0, 2999)}
+    assert {r["id"]: r["count"] for r in got.where("id in (0, 2999)").groupBy("id").count().collect()} == n
